@@ -13,7 +13,7 @@ _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 def seconds_to_micros(seconds: Column) -> Column:
     """Whole microseconds, half to even, so that sums are exact in any order."""
-    return F.bround(seconds * F.lit(float(MICROS))).cast("bigint")
+    return F.rint(seconds * F.lit(float(MICROS))).cast("bigint")
 
 
 def micros_to_seconds(micros: Column) -> Column:

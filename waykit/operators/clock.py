@@ -56,7 +56,8 @@ def join_leg_travel(legs: DataFrame, travel: DataFrame) -> DataFrame:
         F.col("to_stop_id").alias("next_stop_id"),
         cm.seconds_to_micros(F.col("travel_seconds")).alias("travel_us"),
     )
-    return legs.join(edges, ["route_id", "stop_id", "next_stop_id"], "left")
+    # Legs are a small part of the edges: hash them and stream the edges past, unsorted.
+    return legs.hint("shuffle_hash").join(edges, ["route_id", "stop_id", "next_stop_id"], "left")
 
 
 def join_stop_service(seq: DataFrame, packages: DataFrame) -> DataFrame:

@@ -131,7 +131,7 @@ def packages_by_stop(packages: DataFrame) -> DataFrame:
     return stop_service(packages).join(windows, ["route_id", "stop_id"], "left")
 
 
-def _packed_packages(packages: DataFrame, headers: DataFrame) -> DataFrame:
+def packed_packages(packages: DataFrame, headers: DataFrame) -> DataFrame:
     """Per route: service per stop in stop order, and windows with their stop index."""
     index = headers.select("route_id", F.posexplode("stop_ids").alias("k", "stop_id"))
     joined = index.join(packages_by_stop(packages), ["route_id", "stop_id"], "left")
@@ -159,6 +159,20 @@ def _packed_packages(packages: DataFrame, headers: DataFrame) -> DataFrame:
     )
 
 
+def relative_windows(packed: DataFrame) -> DataFrame:
+    """Window bounds as offsets from the route's departure."""
+    shifted = F.transform(
+        "windows",
+        lambda w: F.struct(
+            w["k"].cast("int").alias("k"),
+            (w["opens_us"] - F.col("departure_us")).alias("opens_us"),
+            (w["closes_us"] - F.col("departure_us")).alias("closes_us"),
+            w["packages"].alias("packages"),
+        ),
+    )
+    return packed.withColumn("windows", shifted)
+
+
 def actual_route_list(sequences: DataFrame) -> DataFrame:
     """The driver's order as one array per route."""
     ordered = F.sort_array(F.collect_list(F.struct("actual_sequence_position", "stop_id")))
@@ -179,7 +193,7 @@ def pack_all(silver, cut: RouteCut | None = None) -> DataFrame:
     partitions = task_count(silver.stops.sparkSession)
     headers = route_headers(cut.short(silver.stops))
     matrix = travel_lookup(cut.short(silver.travel), headers, partitions)
-    packages = _packed_packages(cut.short(silver.packages), headers)
+    packages = packed_packages(cut.short(silver.packages), headers)
     departures = parse_departure(cut.short(silver.routes)).select(
         "route_id", cm.epoch_micros(F.col("departure")).alias("departure_us")
     )
@@ -194,16 +208,7 @@ def pack_all(silver, cut: RouteCut | None = None) -> DataFrame:
     reason = F.when(~F.coalesce(complete, F.col("n") == 1), "MISSING_EDGE").when(
         F.col("departure_us").isNull(), "BAD_DEPARTURE"
     )
-    relative = F.transform(
-        "windows",
-        lambda w: F.struct(
-            w["k"].cast("int").alias("k"),
-            (w["opens_us"] - F.col("departure_us")).alias("opens_us"),
-            (w["closes_us"] - F.col("departure_us")).alias("closes_us"),
-            w["packages"].alias("packages"),
-        ),
-    )
-    return packed.withColumn("windows", relative).withColumn("reject_reason", reason)
+    return relative_windows(packed).withColumn("reject_reason", reason)
 
 
 def pack_routes(silver, cut: RouteCut | None = None) -> DataFrame:

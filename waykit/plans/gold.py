@@ -9,7 +9,7 @@ from waykit import schemas
 from waykit.functions.clock_math import micros_to_seconds
 from waykit.operators import long_routes
 from waykit.operators.nearest import nearest_neighbor
-from waykit.operators.packing import MAX_PACKED_STOPS, RouteCut, actual_route_list, num_stops, pack_routes
+from waykit.operators.packing import MAX_PACKED_STOPS, RouteCut, actual_route_list, num_stops, pack_routes, packing_rejects, station_routes
 from waykit.operators.two_opt import MAX_PASSES, two_opt_constrained
 
 
@@ -23,16 +23,42 @@ def _with_actual(packed: DataFrame, sequences: DataFrame) -> DataFrame:
     return joined.withColumn("actual", F.when(known, index)).drop("actual_route")
 
 
-def solve_routes(silver, max_passes: int = MAX_PASSES, max_stops: int = MAX_PACKED_STOPS) -> DataFrame:
+def solve_routes(
+    silver,
+    max_passes: int = MAX_PASSES,
+    max_stops: int = MAX_PACKED_STOPS,
+    cells: int = long_routes.CELLS,
+) -> DataFrame:
     """Baseline, improved and driven score and the routes themselves, one row per depot route."""
     cut = RouteCut(silver, max_stops)
     packed = _with_actual(pack_routes(silver, cut), cut.short(silver.sequences))
     solved = two_opt_constrained(nearest_neighbor(packed), max_passes)
     if cut.any_long:
-        solved = solved.unionByName(long_routes.solve(silver, cut, max_passes))
+        solved = solved.unionByName(long_routes.solve(silver, cut, max_passes, cells))
     return solved
 
 
+def rejected_routes(silver, max_stops: int = MAX_PACKED_STOPS) -> DataFrame:
+    """Depot routes left out of the comparison and why; nothing is dropped without a row here."""
+    cut = RouteCut(silver, max_stops)
+    unsolved = packing_rejects(silver, cut)
+    if cut.any_long:
+        unsolved = unsolved.unionByName(long_routes.rejects(silver, cut))
+    depots = station_routes(silver.stops).select("route_id")
+    undriven = depots.join(silver.sequences, "route_id", "left_anti").withColumn(
+        "reject_reason", F.lit("NO_SEQUENCE")
+    )
+    unknown = (
+        silver.sequences.join(silver.stops, ["route_id", "stop_id"], "left_anti")
+        .select("route_id")
+        .distinct()
+        .join(depots, "route_id", "left_semi")
+        .withColumn("reject_reason", F.lit("UNKNOWN_STOP"))
+    )
+    every = unsolved.unionByName(undriven).unionByName(unknown)
+    return every.groupBy("route_id").agg(F.min("reject_reason").alias("reject_reason"))
+
+
 def comparison_rows(solved: DataFrame) -> DataFrame:
     rows = solved.where("actual_us IS NOT NULL").select(
         "route_id",
