@@ -20,11 +20,11 @@ def _micros(column: str) -> Column:
 
 
 def _mean_minutes(micros: Column) -> Column:
-    return F.sum(micros).cast("double") / F.count(micros) / F.lit(60.0 * MICROS)
+    return F.try_divide(F.sum(micros).cast("double"), F.count(micros)) / F.lit(60.0 * MICROS)
 
 
 def _percent(condition: Column) -> Column:
-    return F.count_if(condition).cast("double") / F.count("*") * 100
+    return F.try_divide(F.count_if(condition).cast("double"), F.count("*")) * 100
 
 
 def minutes_saved(gold: DataFrame) -> DataFrame:
