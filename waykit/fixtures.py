@@ -13,7 +13,7 @@ matrix is derived differently in Spark, by exploding each route's bounded stop l
 
 from __future__ import annotations
 
-import functools
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -131,8 +131,8 @@ class Silver:
     travel: DataFrame
 
     def semi(self, ids: DataFrame) -> "Silver":
-        """All five tables cut down to the given route ids."""
-        keep = ids.select("route_id").distinct()
+        """All five tables cut down to the given route ids, which are broadcast only if few."""
+        keep = tables.broadcast_if_small(ids.select("route_id").distinct())
         return Silver(
             *(
                 getattr(self, f).join(keep, "route_id", "left_semi")
@@ -192,16 +192,22 @@ def load_silver(spark: SparkSession, root: str) -> Silver:
     )
 
 
-@functools.lru_cache(maxsize=None)
-def _stored(application_id: str, sf_dir: str) -> str:
-    spark = SparkSession.active()
-    root = scratch_dir(spark, "silver")
-    write_silver(derive(spark, sf_dir), root)
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, layer: str, write: Callable[[str], None]) -> str:
+    """Folder of a layer written once per application; written anew if it has gone."""
+    key = (spark.sparkContext.applicationId, sf_dir, layer)
+    root = _written.get(key)
+    if root is None or not tables.path_exists(spark, root):
+        root = scratch_dir(spark, layer)
+        write(root)
+        _written[key] = root
     return root
 
 
 def silver_root(spark: SparkSession, sf_dir: str) -> str:
-    return _stored(spark.sparkContext.applicationId, sf_dir)
+    return _once(spark, sf_dir, "silver", lambda root: write_silver(derive(spark, sf_dir), root))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> Silver:
@@ -230,33 +236,20 @@ def relational_gold(tables_: Silver) -> DataFrame:
     return join_variants(evaluate_routes(variant_sequences(tables_), tables_), tables_.stops)
 
 
-@functools.lru_cache(maxsize=None)
-def _stored_gold(application_id: str, sf_dir: str) -> str:
-    spark = SparkSession.active()
-    root = scratch_dir(spark, "gold")
-    tables.write_overwrite(relational_gold(silver(spark, sf_dir)), root)
-    return root
-
-
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The relational comparison table, written once per application and read back."""
-    root = _stored_gold(spark.sparkContext.applicationId, sf_dir)
+    root = _once(
+        spark, sf_dir, "gold", lambda path: tables.write_overwrite(relational_gold(silver(spark, sf_dir)), path)
+    )
     return spark.read.schema(schemas.ROUTE_COMPARISON).parquet(root)
 
 
-@functools.lru_cache(maxsize=None)
-def _stored_json(application_id: str, sf_dir: str) -> str:
-    spark = SparkSession.active()
-    root = scratch_dir(spark, "bronze")
-    source = silver(spark, sf_dir)
-    for file, docs in zip(
-        keyed_json.RAW_FILES,
-        (documents.route_docs, documents.package_docs, documents.sequence_docs, documents.travel_docs),
-    ):
+def _write_bronze(source: Silver, root: str) -> None:
+    makers = (documents.route_docs, documents.package_docs, documents.sequence_docs, documents.travel_docs)
+    for file, docs in zip(keyed_json.RAW_FILES, makers):
         keyed_json.write_keyed_json(docs(source), f"{root}/{file}")
-    return root
 
 
 def bronze_root(spark: SparkSession, sf_dir: str) -> str:
     """Landing folder with the silver tables written as keyed JSON, once per application."""
-    return _stored_json(spark.sparkContext.applicationId, sf_dir)
+    return _once(spark, sf_dir, "bronze", lambda root: _write_bronze(silver(spark, sf_dir), root))

@@ -13,9 +13,9 @@ from waykit import schemas
 from waykit.functions import clock_math as cm
 from waykit.operators.clock import parse_departure, stop_service, stop_windows
 from waykit.session import task_count
+from waykit.sources.tables import broadcast_if_small
 
 MAX_PACKED_STOPS = 1000  # an 8 MB matrix
-BROADCAST_IDS = 10_000
 
 
 def num_stops(stops: DataFrame) -> DataFrame:
@@ -56,9 +56,8 @@ class RouteCut:
     def __init__(self, silver, max_stops: int = MAX_PACKED_STOPS) -> None:
         self.max_stops = max_stops
         self.ids = long_route_ids(silver, max_stops)
-        found = len(self.ids.take(BROADCAST_IDS + 1))
-        self.any_long = found > 0
-        self._side = F.broadcast(self.ids) if found <= BROADCAST_IDS else self.ids
+        self.any_long = not self.ids.isEmpty()
+        self._side = broadcast_if_small(self.ids) if self.any_long else self.ids
 
     def short(self, df: DataFrame) -> DataFrame:
         return df.join(self._side, "route_id", "left_anti") if self.any_long else df
@@ -197,10 +196,12 @@ def pack_all(silver, cut: RouteCut | None = None) -> DataFrame:
     departures = parse_departure(cut.short(silver.routes)).select(
         "route_id", cm.epoch_micros(F.col("departure")).alias("departure_us")
     )
+    # The matrices are streamed past hash tables of the narrow sides: they are neither sorted nor moved again.
     packed = (
-        headers.join(matrix, "route_id", "left")
-        .join(packages, "route_id", "left")
-        .join(departures, "route_id", "left")
+        headers.hint("shuffle_hash")
+        .join(matrix, "route_id", "left")
+        .join(packages.hint("shuffle_hash"), "route_id", "left")
+        .join(departures.hint("shuffle_hash"), "route_id", "left")
     )
     complete = (F.size("matrix_us") == F.col("n") * F.col("n")) & F.forall(
         "matrix_us", lambda x: x.isNotNull()

@@ -15,7 +15,7 @@ from waykit.operators.two_opt import MAX_PASSES, two_opt_constrained
 
 def _with_actual(packed: DataFrame, sequences: DataFrame) -> DataFrame:
     """The driven order as stop indexes; -1 marks a stop the route does not have."""
-    joined = packed.join(actual_route_list(sequences), "route_id", "left")
+    joined = packed.join(actual_route_list(sequences).hint("shuffle_hash"), "route_id", "left")
     index = F.transform(
         "actual_route", lambda s: (F.array_position(F.col("stop_ids"), s) - 1).cast("int")
     )

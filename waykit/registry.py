@@ -133,7 +133,7 @@ def write_append_resumable(spark, sf_dir):
     path = scratch_dir(spark, "append")
     gold = fixtures.gold(spark, sf_dir)
     done = sampling.sample_routes(gold, SAMPLE)
-    tables.write_append_resumable(tables.filter_sample(gold, done, SAMPLE), path)
+    tables.write_append_resumable(tables.filter_sample(gold, done), path)
     tables.write_append_resumable(gold, path)
     tables.write_append_resumable(gold, path)
     stored = spark.read.schema(schemas.ROUTE_COMPARISON).parquet(path)
@@ -261,7 +261,7 @@ _gold_query("scatter_points", kpi.scatter_points)
 def filter_sample(spark, sf_dir):
     s = fixtures.silver(spark, sf_dir)
     picked = sampling.sample_routes(s.routes, SAMPLE)
-    return tables.filter_sample(s.stops.select("route_id", "stop_id", "stop_type"), picked, SAMPLE)
+    return tables.filter_sample(s.stops.select("route_id", "stop_id", "stop_type"), picked)
 
 
 @query
@@ -369,7 +369,8 @@ def nn_argmin(spark, sf_dir):
     """First step of the construction: the stop nearest to the depot."""
     s = fixtures.silver(spark, sf_dir)
     depots = packing.station_routes(s.stops).withColumnRenamed("start_stop_id", "from_stop_id")
-    options = s.travel.join(depots, ["route_id", "from_stop_id"]).where("to_stop_id <> from_stop_id")
+    options = s.travel.join(depots.hint("shuffle_hash"), ["route_id", "from_stop_id"])
+    options = options.where("to_stop_id <> from_stop_id")
     closest = F.min(F.struct(cm.seconds_to_micros(F.col("travel_seconds")).alias("us"), "to_stop_id"))
     return options.groupBy("route_id").agg(closest.alias("c")).select(
         "route_id", F.col("c.to_stop_id").alias("nearest_stop_id"), F.col("c.us").alias("travel_us")

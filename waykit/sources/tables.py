@@ -81,7 +81,17 @@ def distinct_routes(df: DataFrame) -> DataFrame:
     return df.select("route_id").distinct()
 
 
-def filter_sample(df: DataFrame, sample: DataFrame, sample_size: int, broadcast_limit: int = 100_000) -> DataFrame:
-    """Rows of the sampled routes. The sample is broadcast only while its size is known to be small."""
-    side = F.broadcast(sample) if sample_size <= broadcast_limit else sample
-    return df.join(side.select("route_id"), "route_id", "left_semi")
+BROADCAST_ROWS = 10_000
+
+
+def broadcast_if_small(ids: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint for a narrow side found to have at most ``limit`` rows, none beyond that.
+
+    The look-up reads at most ``limit + 1`` rows.
+    """
+    return F.broadcast(ids) if len(ids.take(limit + 1)) <= limit else ids
+
+
+def filter_sample(df: DataFrame, sample: DataFrame) -> DataFrame:
+    """Rows of the sampled routes."""
+    return df.join(broadcast_if_small(sample.select("route_id")), "route_id", "left_semi")
