@@ -293,7 +293,8 @@ BODIES: dict[str, str] = {
           AND r.stop_id = t.start_stop_id) s ON s.route_id = n.route_id
         JOIN (SELECT route_id, max(stop_id) AS last_stop_id FROM fx_stops GROUP BY route_id) l
           ON l.route_id = n.route_id
-        LEFT JOIN (SELECT route_id, CAST(sum(service_us) AS BIGINT) AS service_us FROM o_service GROUP BY route_id) v
+        LEFT JOIN (SELECT o.route_id, CAST(sum(o.service_us) AS BIGINT) AS service_us FROM o_service o
+          JOIN o_ranked r ON r.route_id = o.route_id AND r.stop_id = o.stop_id GROUP BY o.route_id) v
           ON v.route_id = n.route_id
         JOIN (SELECT e.route_id, CAST(sum(travel_us * (a.k * m.num_stops + b.k + 1)) AS BIGINT) AS digest
           FROM o_edges e JOIN o_num_stops m ON m.route_id = e.route_id
