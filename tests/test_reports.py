@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waykit import schemas
-from waykit.functions.clock_math import round_tenth
+from waykit.functions.clock_math import one_decimal, round_tenth
 from waykit.functions.arrays import is_permutation, reverse_segment
 from waykit.operators import guardrail, sampling, similar
 from waykit.plans import kpi
@@ -41,6 +41,13 @@ def test_rounding_equals_numpy(spark):
     assert got == [float(np.round(v, 1)) for v in values]
 
 
+def test_text_rounding_equals_python(spark):
+    values = [k / 20 for k in range(-400, 400)] + [k / 7 for k in range(300)] + [247 / 2000 * 100, 98.8, 100.0]
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = [r.y for r in df.select(one_decimal(F.col("x")).alias("y")).collect()]
+    assert got == [f"{v:.1f}" for v in values]
+
+
 def test_unknown_ids_get_an_error(spark):
     gold = gold_rows(spark, ("R", 5, 1, 60.0, 1, 120.0))
     requests = spark.createDataFrame([("R",), ("X",)], "route_id string")

@@ -53,3 +53,23 @@ def round_tenth(x: Column) -> Column:
 def window_broken(arrival: Column, opens: Column, closes: Column) -> Column:
     """Early or late; both bounds are inclusive and nobody waits."""
     return (arrival < opens) | (arrival > closes)
+
+
+def one_decimal(x: Column) -> Column:
+    """Text with one decimal, rounded on the exact binary value, half to even.
+
+    ``x * 10`` is itself rounded; its error, taken from the two halves of ``x``, settles apparent ties.
+    """
+    size = F.abs(x)
+    scaled = size * 10
+    wide = size * F.lit(134217729.0)
+    high = wide - (wide - size)
+    error = (high * 10 - scaled) + (size - high) * 10
+    whole = F.floor(scaled)
+    rest = scaled - whole
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
+    tenths = whole + F.when(up, 1).otherwise(0)
+    sign = F.when(x < 0, "-").otherwise("")
+    return F.concat(
+        sign, F.floor(tenths / 10).cast("bigint").cast("string"), F.lit("."), (tenths % 10).cast("bigint").cast("string")
+    )

@@ -238,7 +238,8 @@ BODIES: dict[str, str] = {
         count(*) FILTER (algo_violations = 0) AS routes_zero_violations FROM o_gold""",
     "kpi_summary": "SELECT * FROM o_kpi",
     "kpi_verdict": """SELECT pct_zero_violations, CASE WHEN pct_zero_violations >= 95 THEN 'success'
-        ELSE 'warning' END AS verdict FROM o_kpi""",
+        ELSE 'warning' END AS verdict, concat(printf('%.1f', pct_zero_violations),
+        '% of routes finished with zero violations.') AS message FROM o_kpi""",
     "violation_reduction": """SELECT nn_total, algo_total, CASE WHEN algo_total < nn_total
         THEN CAST(nn_total - algo_total AS DOUBLE) / nn_total * 100 END AS reduction_pct FROM o_kpi""",
     "violation_bars": """SELECT 'Unconstrained' AS label, nn_total AS total FROM o_kpi

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waykit.functions.clock_math import MICROS, seconds_to_micros
+from waykit.functions.clock_math import MICROS, one_decimal, seconds_to_micros
 
 HISTOGRAM_BINS = 25
 SUCCESS_PERCENT = 95
@@ -64,15 +64,12 @@ def kpi_verdict(gold: DataFrame) -> DataFrame:
     return kpi_summary(gold).select(
         "pct_zero_violations",
         F.when(reached, "success").otherwise("warning").alias("verdict"),
-        F.format_string("%s%% of routes finished with zero violations.", one_decimal(F.col("pct_zero_violations"))).alias("message"),
+        F.concat(
+            one_decimal(F.col("pct_zero_violations")), F.lit("% of routes finished with zero violations.")
+        ).alias("message"),
     )
 
 
-def one_decimal(x: Column) -> Column:
-    """Text with one decimal."""
-    return F.bround(x, 1).cast("decimal(18,1)").cast("string")
-
-
 def violation_reduction(gold: DataFrame) -> DataFrame:
     """Percent fewer violations than the baseline; null unless there are fewer."""
     nn, algo = F.col("nn_total"), F.col("algo_total")

@@ -357,7 +357,7 @@ _silver_query("num_stops", lambda s: packing.num_stops(s.stops))
 _silver_query("distinct_routes", lambda s: tables.distinct_routes(s.travel))
 _gold_query("final_findings", kpi.final_findings)
 _gold_query("kpi_summary", kpi.kpi_summary)
-_gold_query("kpi_verdict", lambda g: kpi.kpi_verdict(g).select("pct_zero_violations", "verdict"))
+_gold_query("kpi_verdict", kpi.kpi_verdict)
 _gold_query("violation_reduction", kpi.violation_reduction)
 _gold_query("violation_bars", kpi.violation_bars)
 _gold_query("axis_max", kpi.axis_max)
