@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 from waykit import schemas
-from waykit.fixtures import Silver
+from waykit.sources.silver_store import Silver
 
 DATE, DEPARTURE = "2018-07-27", "09:00:00"
 

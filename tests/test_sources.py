@@ -8,7 +8,7 @@ from networks import four_stops, network
 from waykit import fixtures, schemas
 from waykit.operators import silver
 from waykit.plans import documents, gold
-from waykit.sources import keyed_json, tables
+from waykit.sources import keyed_json, silver_store, tables
 from waykit.streaming.incremental import incremental_evaluate
 
 
@@ -148,3 +148,17 @@ def test_route_width_is_bounded_by_construction(spark):
     """However many line items or repeated orders there are, a route has at most 200 stops."""
     stops = fixtures.silver(spark, "/root/testdata/sf0.01").stops
     assert stops.groupBy("route_id").count().selectExpr("max(count) m").first().m <= 200
+
+
+def test_from_documents_to_gold(spark, tmp_path):
+    """Landed JSON files to the comparison table, through the stored silver layer."""
+    source = network(spark, {f"RouteID_{k}": {"travel": four_stops(), "order": list("ABCD")} for k in range(3)})
+    for file, docs in zip(
+        keyed_json.RAW_FILES,
+        (documents.route_docs, documents.package_docs, documents.sequence_docs, documents.travel_docs),
+    ):
+        keyed_json.write_keyed_json(docs(source), f"{tmp_path}/{file}")
+    flat = silver_store.silver_from_documents(keyed_json.read_bronze(spark, str(tmp_path)))
+    silver_store.write_silver(flat, str(tmp_path / "silver"))
+    stored = silver_store.load_silver(spark, str(tmp_path / "silver"))
+    assert sorted(gold.route_comparison(stored).collect()) == sorted(gold.route_comparison(source).collect())

@@ -14,7 +14,6 @@ matrix is derived differently in Spark, by exploding each route's bounded stop l
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +25,7 @@ from waykit.plans import documents
 from waykit.plans.gold import join_variants
 from waykit.session import scratch_dir
 from waykit.sources import keyed_json, tables
+from waykit.sources.silver_store import Silver, load_silver, write_silver
 
 
 def _route_no(key: str) -> str:
@@ -120,27 +120,6 @@ def oracle_ctes() -> str:
     return ",\n".join(f"{n} AS ({sql.format(**names)})" for n, sql in parts.items())
 
 
-@dataclass(frozen=True)
-class Silver:
-    """The five silver tables."""
-
-    routes: DataFrame
-    stops: DataFrame
-    packages: DataFrame
-    sequences: DataFrame
-    travel: DataFrame
-
-    def semi(self, ids: DataFrame) -> "Silver":
-        """All five tables cut down to the given route ids, which are broadcast only if few."""
-        keep = tables.broadcast_if_small(ids.select("route_id").distinct())
-        return Silver(
-            *(
-                getattr(self, f).join(keep, "route_id", "left_semi")
-                for f in ("routes", "stops", "packages", "sequences", "travel")
-            )
-        )
-
-
 def travel_matrix(stops: DataFrame) -> DataFrame:
     """Every ordered stop pair of a route (at most 200 stops), by exploding its stop list twice."""
     packed = stops.groupBy("route_id").agg(
@@ -174,24 +153,6 @@ def derive(spark: SparkSession, sf_dir: str) -> Silver:
     )
 
 
-def write_silver(silver: Silver, root: str) -> None:
-    for name in ("routes", "stops", "packages", "sequences", "travel"):
-        tables.write_overwrite(getattr(silver, name), f"{root}/{name}")
-
-
-def load_silver(spark: SparkSession, root: str) -> Silver:
-    def scan(name: str, schema) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{root}/{name}")
-
-    return Silver(
-        routes=scan("routes", schemas.DIM_ROUTES),
-        stops=scan("stops", schemas.FACT_STOPS),
-        packages=scan("packages", schemas.DIM_PACKAGES),
-        sequences=scan("sequences", schemas.FACT_ACTUAL_SEQUENCES),
-        travel=scan("travel", schemas.FACT_TRAVEL_TIMES),
-    )
-
-
 _written: dict[tuple[str, str, str], str] = {}
 
 

@@ -16,6 +16,7 @@ from waykit.plans import gold as gold_plans
 from waykit.plans import kpi
 from waykit.session import scratch_dir
 from waykit.sources import keyed_json, tables
+from waykit.sources.silver_store import Silver
 from waykit.streaming.incremental import incremental_evaluate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,11 +34,11 @@ def _gold_query(name: str, plan: Callable[[DataFrame], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: plan(fixtures.gold(spark, sf_dir))
 
 
-def _silver_query(name: str, plan: Callable[[fixtures.Silver], DataFrame]) -> None:
+def _silver_query(name: str, plan: Callable[[Silver], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: plan(fixtures.silver(spark, sf_dir))
 
 
-def _actual(s: fixtures.Silver) -> DataFrame:
+def _actual(s: Silver) -> DataFrame:
     return sequences.actual_sequence(s.sequences)
 
 
@@ -284,7 +285,7 @@ _silver_query(
 )
 
 
-def _met(s: fixtures.Silver) -> DataFrame:
+def _met(s: Silver) -> DataFrame:
     timed = clock.join_route_info(clock.arrival_times(_actual(s), s.travel, s.packages), s.routes)
     return clock.join_arrival_windows(timed, s.packages).select(
         "route_id", "pos", "stop_id", "arrival_us", "opens_us", "closes_us", "packages", "broken"
@@ -412,7 +413,7 @@ _silver_query("sample_routes", lambda s: sampling.sample_routes(s.routes, SAMPLE
 _silver_query("order_actual", lambda s: _actual(s).select("route_id", "pos", "stop_id"))
 
 
-def _packed_actual(s: fixtures.Silver) -> DataFrame:
+def _packed_actual(s: Silver) -> DataFrame:
     """Packed depot routes with the driven order as stop indexes."""
     cut = packing.RouteCut(s)
     packed = gold_plans._with_actual(packing.pack_routes(s, cut), cut.short(s.sequences))
@@ -425,7 +426,7 @@ _silver_query("best_score", lambda s: two_opt.best_score(two_opt.score_two_opt_m
 # Arrays and sets
 
 
-def _stop_lists(s: fixtures.Silver) -> DataFrame:
+def _stop_lists(s: Silver) -> DataFrame:
     lists = packing.stops_by_route(s.stops).select("route_id", F.col("stops")["stop_id"].alias("stop_ids"))
     joined = lists.join(packing.actual_route_list(s.sequences), "route_id")
     return joined.withColumn("half", F.floor(F.size("actual_route") / 2).cast("int"))
