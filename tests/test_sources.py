@@ -162,3 +162,19 @@ def test_from_documents_to_gold(spark, tmp_path):
     silver_store.write_silver(flat, str(tmp_path / "silver"))
     stored = silver_store.load_silver(spark, str(tmp_path / "silver"))
     assert sorted(gold.route_comparison(stored).collect()) == sorted(gold.route_comparison(source).collect())
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    source = network(spark, {f"R{k}": {"travel": four_stops(), "order": list("ABCD")} for k in range(3)})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        tables.write_bucketed(source.stops, "bucketed_stops", str(tmp_path / "stops"), 4)
+        tables.write_bucketed(source.routes, "bucketed_routes", str(tmp_path / "routes"), 4)
+        joined = spark.table("bucketed_stops").join(spark.table("bucketed_routes"), "route_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 12
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE IF EXISTS bucketed_stops")
+        spark.sql("DROP TABLE IF EXISTS bucketed_routes")
