@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from waykit.llm import decontam, lines, mixing, rules, sharding
+from waykit.llm import decontam, jaccard, lines, mixing, rules, sharding
 from waykit.llm.common import table
 
 QUERIES = {
     "op2_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
+    "op3_jaccard_components": lambda spark, d: jaccard.digest(table(spark, d, "documents")),
     "op5_ring_shards": lambda spark, d: sharding.digest(table(spark, d, "documents")),
     "op7_certified_rules": lambda spark, d: rules.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op8_simhash_leaks": lambda spark, d: decontam.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
@@ -15,6 +16,7 @@ QUERIES = {
 
 ORACLES = {
     "op2_mix_sources": mixing.ORACLE,
+    "op3_jaccard_components": jaccard.ORACLE,
     "op7_certified_rules": rules.ORACLE,
     "op10_line_dedup": lines.ORACLE,
 }
