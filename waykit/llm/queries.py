@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from waykit.llm import decontam, jaccard, lines, mixing, rules, sharding
+from waykit.llm import decontam, jaccard, lines, mixing, quality, rules, sharding
 from waykit.llm.common import table
 
 QUERIES = {
+    "op1_crf_quality": lambda spark, d: quality.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op2_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
     "op3_jaccard_components": lambda spark, d: jaccard.digest(table(spark, d, "documents")),
     "op5_ring_shards": lambda spark, d: sharding.digest(table(spark, d, "documents")),
