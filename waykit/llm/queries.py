@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from waykit.llm import decontam, jaccard, lines, mixing, quality, rules, sharding
+from waykit.llm import arc, decontam, jaccard, lines, mixing, quality, rules, sharding
 from waykit.llm.common import table
 
 QUERIES = {
     "op1_crf_quality": lambda spark, d: quality.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op2_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
     "op3_jaccard_components": lambda spark, d: jaccard.digest(table(spark, d, "documents")),
+    "op4_arc_to_warc": lambda spark, d: arc.digest(table(spark, d, "pages")),
     "op5_ring_shards": lambda spark, d: sharding.digest(table(spark, d, "documents")),
     "op7_certified_rules": lambda spark, d: rules.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op8_simhash_leaks": lambda spark, d: decontam.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
@@ -18,6 +19,7 @@ QUERIES = {
 ORACLES = {
     "op2_mix_sources": mixing.ORACLE,
     "op3_jaccard_components": jaccard.ORACLE,
+    "op4_arc_to_warc": arc.ORACLE,
     "op7_certified_rules": rules.ORACLE,
     "op10_line_dedup": lines.ORACLE,
 }
