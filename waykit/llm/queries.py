@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waykit.llm import arc, decontam, jaccard, lines, mixing, quality, rules, sharding
+from waykit.llm import arc, chat, decontam, jaccard, lines, mixing, quality, rules, sharding
 from waykit.llm.common import table
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_jaccard_components": lambda spark, d: jaccard.digest(table(spark, d, "documents")),
     "op4_arc_to_warc": lambda spark, d: arc.digest(table(spark, d, "pages")),
     "op5_ring_shards": lambda spark, d: sharding.digest(table(spark, d, "documents")),
+    "op6_chat_windows": lambda spark, d: chat.digest(table(spark, d, "conversations")),
     "op7_certified_rules": lambda spark, d: rules.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op8_simhash_leaks": lambda spark, d: decontam.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op10_line_dedup": lambda spark, d: lines.digest(table(spark, d, "documents")),
@@ -20,6 +21,7 @@ ORACLES = {
     "op2_mix_sources": mixing.ORACLE,
     "op3_jaccard_components": jaccard.ORACLE,
     "op4_arc_to_warc": arc.ORACLE,
+    "op6_chat_windows": chat.ORACLE,
     "op7_certified_rules": rules.ORACLE,
     "op10_line_dedup": lines.ORACLE,
 }
