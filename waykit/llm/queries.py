@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waykit.llm import arc, chat, decontam, jaccard, lines, mixing, quality, rules, sharding
+from waykit.llm import arc, chat, decontam, jaccard, lines, mixing, quality, rules, sharding, suffixes
 from waykit.llm.common import table
 
 QUERIES = {
@@ -14,6 +14,7 @@ QUERIES = {
     "op6_chat_windows": lambda spark, d: chat.digest(table(spark, d, "conversations")),
     "op7_certified_rules": lambda spark, d: rules.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op8_simhash_leaks": lambda spark, d: decontam.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op9_repeated_bytes": lambda spark, d: suffixes.digest(table(spark, d, "documents")),
     "op10_line_dedup": lambda spark, d: lines.digest(table(spark, d, "documents")),
 }
 
@@ -23,5 +24,6 @@ ORACLES = {
     "op4_arc_to_warc": arc.ORACLE,
     "op6_chat_windows": chat.ORACLE,
     "op7_certified_rules": rules.ORACLE,
+    "op9_repeated_bytes": suffixes.ORACLE,
     "op10_line_dedup": lines.ORACLE,
 }
