@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from waykit.session import scratch_dir
 
 WHITESPACE = " \t\n\x0b\x0c\r"  # the class [\x20\x09-\x0D]
+DOCUMENT = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 

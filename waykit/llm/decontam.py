@@ -7,11 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waykit.llm import textvec as tv
-from waykit.llm.common import pick
+from waykit.llm.common import DOCUMENT, pick
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -159,43 +160,60 @@ def match_text(hashes: np.ndarray, known: np.ndarray, index: BenchmarkIndex) ->
         yield i, -start, words, apart, similarity
 
 
+def leaks(column: pa.Array, bench: BenchmarkIndex) -> Iterator[tuple[int, int, int, int, int, float]]:
+    """(row, item, start, words, hamming, similarity) of the items that the texts of a batch leak."""
+    short: dict[int, dict[int, list[int]]] = {}  # items of fewer words than a shingle: sequences of their own length
+    for i, n in enumerate(bench.n_words.tolist()):
+        if n < SHINGLE:
+            short.setdefault(n, {}).setdefault(next(iter(bench.bags[i])), []).append(i)
+    for first, _, data, offsets in tv.text_chunks(column):
+        words, owner, _ = word_hashes(data, offsets)
+        h, text, _ = tv.shingles(words, owner, SHINGLE)
+        known = np.full(len(h), -1)
+        if len(bench.shingles):
+            spot = np.minimum(np.searchsorted(bench.shingles, h), len(bench.shingles) - 1)
+            known = np.where(bench.shingles[spot] == h, spot, -1)
+        for t in np.unique(text[known >= 0]).tolist():
+            low, high = np.searchsorted(text, [t, t + 1])
+            for i, *found in match_text(h[low:high], known[low:high], bench):
+                if bench.n_words[i] >= SHINGLE:
+                    yield first + t, i, *found
+        for n, wanted in short.items():
+            seen = set()
+            for at, key in enumerate(sequences(words, owner, n).tolist()):
+                for i in wanted.get(key, ()):
+                    t = int(owner[at])
+                    if (t, i) not in seen:
+                        seen.add((t, i))
+                        yield first + t, i, at - int(np.searchsorted(owner, t)), n, 0, 1.0
+
+
 def matcher(index):
-    """A map over Arrow batches (doc_id, text) against the broadcast ``index``."""
+    """A map over Arrow batches (doc_id, text) to their leaks of the broadcast ``index``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench: BenchmarkIndex = index.value
-        short = {}  # items of fewer words than a shingle, found as sequences of their own length
-        for i, n in enumerate(bench.n_words.tolist()):
-            if n < SHINGLE:
-                short.setdefault(n, {})[next(iter(bench.bags[i]))] = short.get(n, {}).get(next(iter(bench.bags[i])), []) + [i]
         for batch in batches:
-            out = []
             ids = batch.column(0).to_pylist()
-            for first, _, data, offsets in tv.text_chunks(batch.column(1)):
-                words, owner, _ = word_hashes(data, offsets)
-                h, text, _ = tv.shingles(words, owner, SHINGLE)
-                spot = np.minimum(np.searchsorted(bench.shingles, h), max(len(bench.shingles) - 1, 0))
-                known = np.where(bench.shingles[spot] == h, spot, -1) if len(bench.shingles) else np.full(len(h), -1)
-                for t in np.unique(text[known >= 0]).tolist():
-                    low, high = np.searchsorted(text, [t, t + 1])
-                    for i, start, n, apart, similarity in match_text(h[low:high], known[low:high], bench):
-                        if bench.n_words[i] >= SHINGLE:
-                            out.append((ids[first + t], bench.ids[i], start, n, apart, similarity))
-                for n, wanted in short.items():
-                    seen = set()
-                    for start, key in enumerate(sequences(words, owner, n).tolist()):
-                        for i in wanted.get(key, ()):
-                            t = int(owner[start])
-                            if (t, i) not in seen:
-                                seen.add((t, i))
-                                begin = int(np.searchsorted(owner, t))
-                                out.append((ids[first + t], bench.ids[i], start - begin, n, 0, 1.0))
+            out = [(ids[row], bench.ids[i], *found) for row, i, *found in leaks(batch.column(1), bench)]
             columns = list(zip(*out, strict=True)) or [[]] * 6
             yield pa.record_batch([pa.array(list(c), kind) for c, kind in zip(columns, ARROW.types, strict=True)], schema=ARROW)
 
     return run
 
 
+def cleaner(index):
+    """A map over batches with the text in the second column that leaves out the rows that leak an item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stays = np.ones(batch.num_rows, bool)
+            stays[[row for row, *_ in leaks(batch.column(1), index.value)]] = False
+            yield batch.filter(pa.array(stays))
+
+    return run
+
+
 def sequences(words: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of ``n`` words (0 across texts), equal to that of a text of just these words."""
     if len(words) < n:
@@ -227,23 +245,31 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     first), one pass over the texts per block. Null and empty texts and items match nothing, null ids stay null,
     repeated rows and items each give their matches, other columns are ignored.
     """
-    spark = docs.sparkSession
     texts = pick(docs, doc_id="bigint", text="string")
+    found = docs.sparkSession.createDataFrame([], SCHEMA)
+    for index in benchmark_blocks(benchmark):
+        found = found.unionByName(texts.mapInArrow(matcher(index), SCHEMA))
+    return found
+
+
+def benchmark_blocks(benchmark: DataFrame) -> Iterator[Broadcast]:
+    """The items, broadcast in blocks of bounded size."""
+    spark = benchmark.sparkSession
     items = pick(benchmark, item_id="bigint", text="string").where("text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-2 * size // BLOCK_BYTES)) if size > BLOCK_BYTES // 2 else 1
-    found = spark.createDataFrame([], SCHEMA)
+    blocks = 1 if size <= BLOCK_BYTES else 2 * -(-size // BLOCK_BYTES)
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        index = spark.sparkContext.broadcast(BenchmarkIndex.build([(r["item_id"], r["text"]) for r in part]))
-        found = found.unionByName(texts.mapInArrow(matcher(index), SCHEMA))
-    return found
+        yield spark.sparkContext.broadcast(BenchmarkIndex.build([(r["item_id"], r["text"]) for r in part]))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that leak an item; rows without doc_id stay."""
-    leaking = find_leaks(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaking, "doc_id", "left_anti")
+    """The documents that leak no item, with the columns of documents; nothing is shuffled."""
+    left = pick(docs, **DOCUMENT)
+    schema = ", ".join(f"{n} {t}" for n, t in DOCUMENT.items())
+    for index in benchmark_blocks(benchmark):
+        left = left.mapInArrow(cleaner(index), schema)
+    return left
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

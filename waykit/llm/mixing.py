@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waykit.llm.common import pick, stored, word_count
+from waykit.llm.common import DOCUMENT, pick, stored, word_count
 from waykit.sources.tables import broadcast_if_small
 
 CELL_BITS = 12  # order keys have 60 bits; their first bits number the cells of a source
@@ -114,7 +114,7 @@ def mix_sources(
     taken alike. Other columns are ignored. One row per source is broadcast after a look at its size; a hot
     source is only ever summed.
     """
-    base = pick(docs, doc_id="bigint", text="string", lang="string", source="string", n_chars="bigint")
+    base = pick(docs, **DOCUMENT)
     plan = stored(draws(stored(sized(base, seed), "mix-rows"), weights, epochs, share), "mix-plan")
     rows = base.select(
         "*",
@@ -134,7 +134,7 @@ def repeated(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus itself, with the columns of documents: each row as often as the mix takes it."""
     mixed = mix_sources(docs, **options).where("copies > 0")
     again = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-    return again.select("doc_id", "text", "lang", "source", "n_chars")
+    return again.select(*DOCUMENT)
 
 
 def digest(docs: DataFrame) -> DataFrame:

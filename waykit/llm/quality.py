@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waykit.llm import textvec as tv
-from waykit.llm.common import pick
+from waykit.llm.common import DOCUMENT, pick
 
 SAMPLE_DOCS = 4000  # labelled documents a model is fitted on, by a hash of their id
 SAMPLE_LINES = 256  # longer documents are scored, but not fitted on
@@ -273,11 +273,11 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows predicted bad, all columns as they are."""
+    """The documents predicted good, with the columns of documents."""
     model = train(docs, labels)
-    named = docs.select(*docs.columns, F.col("text").cast("string").alias("_read"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double"
-    return named.mapInArrow(scorer(model), schema).where(F.col("score") >= CUTOFF).select(*docs.columns)
+    named = pick(docs, **DOCUMENT).withColumn("_read", F.col("text"))
+    schema = ", ".join(f"{n} {t}" for n, t in DOCUMENT.items()) + ", score double"
+    return named.mapInArrow(scorer(model), schema).where(F.col("score") >= CUTOFF).drop("score")
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
