@@ -25,7 +25,7 @@ from waykit.plans import documents
 from waykit.plans.gold import join_variants
 from waykit.session import scratch_dir
 from waykit.sources import keyed_json, tables
-from waykit.sources.silver_store import Silver, load_silver, write_silver
+from waykit.sources.silver_store import Silver
 
 
 def _route_no(key: str) -> str:
@@ -167,13 +167,34 @@ def _once(spark: SparkSession, sf_dir: str, layer: str, write: Callable[[str], N
     return root
 
 
-def silver_root(spark: SparkSession, sf_dir: str) -> str:
-    return _once(spark, sf_dir, "silver", lambda root: write_silver(derive(spark, sf_dir), root))
+class StoredOnUse:
+    """The silver layer, each table written when it is first asked for, once per application."""
 
+    FIELDS = ("routes", "stops", "packages", "sequences", "travel")
 
-def silver(spark: SparkSession, sf_dir: str) -> Silver:
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._sf_dir, self._derived = spark, sf_dir, derive(spark, sf_dir)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in self.FIELDS:
+            raise AttributeError(name)
+        root = table_root(self._spark, self._sf_dir, name, getattr(self._derived, name))
+        return self._spark.read.schema(getattr(self._derived, name).schema).parquet(root)
+
+    def whole(self) -> Silver:
+        return Silver(*(getattr(self, f) for f in self.FIELDS))
+
+    def semi(self, ids: DataFrame) -> Silver:
+        return self.whole().semi(ids)
+
+
+def table_root(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> str:
+    return _once(spark, sf_dir, f"silver-{name}", lambda root: tables.write_overwrite(df, root))
+
+
+def silver(spark: SparkSession, sf_dir: str) -> StoredOnUse:
     """The silver layer, written once per application and read back as tables."""
-    return load_silver(spark, silver_root(spark, sf_dir))
+    return StoredOnUse(spark, sf_dir)
 
 
 def variant_sequences(tables_: Silver) -> DataFrame:

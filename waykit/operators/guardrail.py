@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waykit.functions.clock_math import round_tenth
-from waykit.operators.similar import similar_case_count
+from waykit.operators.similar import cases_by_stop_count
+from waykit.sources.tables import broadcast_if_small
 
 GOLD_COLUMNS = (
     "num_stops",
@@ -92,12 +93,13 @@ def investigation_report(requests: DataFrame, gold: DataFrame, failures: DataFra
     The similar cases themselves are listed once per stop count by ``similar_cases``; the row's
     ``summary.num_stops`` is the key into that table.
     """
-    similar = similar_case_count(gold, failures).drop("num_stops")
+    similar = broadcast_if_small(cases_by_stop_count(failures))
+    counted = F.coalesce("num_similar_cases_found", F.lit(0)).cast("bigint")
     checked = gold.select(
         "*",
         F.struct(*validation_columns()).alias("validation"),
         F.struct(*comparison_columns()).alias("comparison"),
-    ).join(similar, "route_id")
+    ).join(similar, "num_stops", "left").withColumn("num_similar_cases_found", counted)
     looked_up = request_lookup(requests, checked)
     unresolved = F.col("validation.status") != "SAFE"
     return looked_up.select(

@@ -40,14 +40,19 @@ def similar_cases(gold: DataFrame, failures: DataFrame, band: int = BAND) -> Dat
     return listed.join(wanted, "for_num_stops", "left_semi")
 
 
-def similar_case_count(gold: DataFrame, failures: DataFrame, band: int = BAND) -> DataFrame:
-    """Number of similar failure cases per route, zero included."""
+def cases_by_stop_count(failures: DataFrame, band: int = BAND) -> DataFrame:
+    """(num_stops, num_similar_cases_found) of every stop count with a similar failure."""
     histogram = failures.groupBy("num_stops").agg(F.count("*").alias("cases"))
-    around = (
+    return (
         histogram.select(_reached(F.col("num_stops"), band).alias("num_stops"), "cases")
         .groupBy("num_stops")
         .agg(F.sum("cases").alias("num_similar_cases_found"))
     )
+
+
+def similar_case_count(gold: DataFrame, failures: DataFrame, band: int = BAND) -> DataFrame:
+    """Number of similar failure cases per route, zero included."""
+    around = cases_by_stop_count(failures, band)
     joined = gold.select("route_id", "num_stops").join(around, "num_stops", "left")
     return joined.select(
         "route_id",

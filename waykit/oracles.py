@@ -344,8 +344,15 @@ BODIES: dict[str, str] = {
         (actual_time_seconds - algo_time_seconds) / 60 > 0 AS algorithm_was_faster FROM o_checked""",
     "status_counts": "SELECT status, count(*) AS routes FROM o_checked GROUP BY status",
     "review_label": "SELECT route_id, label FROM o_labelled",
-    "investigation_report": """SELECT r.route_id, CAST(g.num_stops AS DOUBLE) AS num_stops, g.status,
-        g.minutes_saved_by_algorithm, CASE WHEN g.status <> 'SAFE' THEN CAST(s.num_similar_cases_found AS DOUBLE) END
+    "investigation_report": """SELECT r.route_id, CAST(g.num_stops AS DOUBLE) AS num_stops, g.nn_time_seconds,
+        CAST(g.nn_violations AS DOUBLE) AS nn_violations, g.algo_time_seconds,
+        CAST(g.algo_violations AS DOUBLE) AS algo_violations, g.actual_time_seconds,
+        CAST(g.actual_violations AS DOUBLE) AS actual_violations, CAST(g.algo_passes_run AS DOUBLE) AS algo_passes_run,
+        CAST(g.nn_violations AS DOUBLE) AS baseline_violations, g.guardrail_passed, g.status,
+        round_even(g.algo_time_seconds / 60 * 10, 0) / 10 AS algorithm_minutes,
+        round_even(g.actual_time_seconds / 60 * 10, 0) / 10 AS actual_driver_minutes,
+        g.minutes_saved_by_algorithm,
+        (g.actual_time_seconds - g.algo_time_seconds) / 60 > 0 AS algorithm_was_faster, CASE WHEN g.status <> 'SAFE' THEN CAST(s.num_similar_cases_found AS DOUBLE) END
           AS num_similar_cases_found, g.label,
         CASE WHEN g.route_id IS NULL THEN concat('No route found with id ', r.route_id) END AS error
         FROM o_requests r LEFT JOIN o_labelled g ON g.route_id = r.route_id

@@ -109,8 +109,8 @@ def read_bronze(spark, sf_dir):
 
 @query
 def read_table(spark, sf_dir):
-    root = fixtures.silver_root(spark, sf_dir)
-    return tables.read_table(spark, f"{root}/stops", ["route_id", "stop_id", "stop_type"])
+    root = fixtures.table_root(spark, sf_dir, "stops", fixtures.derive(spark, sf_dir).stops)
+    return tables.read_table(spark, root, ["route_id", "stop_id", "stop_type"])
 
 
 @query
@@ -534,7 +534,7 @@ def two_opt_constrained(spark, sf_dir):
 _silver_query("route_comparison", gold_plans.route_comparison)
 _silver_query(
     "route_comparison_baselines",
-    lambda s: gold_plans.route_comparison(s).drop(
+    lambda s: gold_plans.route_comparison(s, max_passes=0).drop(  # no pass: only the baseline is built and scored
         "algo_time_seconds", "algo_violations", "algo_passes_run"
     ),
 )
@@ -602,9 +602,14 @@ def investigation_report(spark, sf_dir):
     report = guardrail.investigation_report(_requests(spark, sf_dir), gold, similar.failure_routes(gold))
     return report.select(
         "route_id",
-        _float("summary.num_stops"),
+        *[_float(f"summary.{c}").alias(c) for c in guardrail.GOLD_COLUMNS],
+        _float("validation.baseline_violations"),
+        "validation.guardrail_passed",
         "validation.status",
+        "comparison.algorithm_minutes",
+        "comparison.actual_driver_minutes",
         "comparison.minutes_saved_by_algorithm",
+        "comparison.algorithm_was_faster",
         _float("num_similar_cases_found"),
         "label",
         "error",

@@ -14,7 +14,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 # collects matrix rows then falls back to sorting later than Spark's default of 128 groups.
 TUNING = {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384"}
 
-_local_scratch: dict[str, str] = {}
+_local_scratch: dict[str, tempfile.TemporaryDirectory] = {}  # removed when the process ends
 
 
 def local_session(app: str = "waykit", cores: int | str = 8, memory: str = "12g") -> SparkSession:
@@ -38,15 +38,19 @@ def local_session(app: str = "waykit", cores: int | str = 8, memory: str = "12g"
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder path for a written intermediate.
 
-    The cluster names the shared root in ``spark.checkpoint.dir``. Only where that is unset,
-    as in tests, a temporary folder stands in.
+    The cluster names the shared root in ``spark.checkpoint.dir``; a folder set by ``setCheckpointDir``
+    counts too. Only a local session without either gets a temporary folder, removed at its end: on a
+    cluster, executors would each write to a disk of their own.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not root:
-        app = spark.sparkContext.applicationId
+        if context.master.partition("[")[0] != "local":
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+        app = context.applicationId
         if app not in _local_scratch:
-            _local_scratch[app] = tempfile.mkdtemp(prefix="waykit-")
-        root = _local_scratch[app]
+            _local_scratch[app] = tempfile.TemporaryDirectory(prefix="waykit-", ignore_cleanup_errors=True)
+        root = _local_scratch[app].name
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,9 +12,13 @@ from pyspark.sql import types as T
 from waykit import schemas
 
 
-def read_table(spark: SparkSession, path: str, columns: list[str], fmt: str = "parquet") -> DataFrame:
-    """Scan with a column list; pruning and pushdown reach the files."""
-    return spark.read.format(fmt).load(path).select(*columns)
+def read_table(spark: SparkSession, name: str, columns: list[str], fmt: str = "parquet") -> DataFrame:
+    """Scan of a path, or of a catalog table where ``name`` has no slash, with a column list.
+
+    Pruning and pushdown reach the files.
+    """
+    scan = spark.read.format(fmt).load(name) if "/" in name else spark.read.table(name)
+    return scan.select(*columns)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -20,12 +27,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def write_overwrite(
-    df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None
+    df: DataFrame, name: str, fmt: str = "parquet", partition_by: list[str] | None = None
 ) -> None:
+    """Replace the files at a path, or a catalog table where ``name`` has no slash."""
     writer = df.write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    writer.save(name) if "/" in name else writer.saveAsTable(name)
 
 
 def write_bucketed(
@@ -47,10 +55,24 @@ def pending(df: DataFrame, done: DataFrame, key: str = "route_id") -> DataFrame:
     return df.join(done.select(key).distinct(), key, "left_anti")
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """The stored rows; none where nothing was written yet, or where a lost write left no data files."""
+    try:
+        return spark.read.format(fmt).schema(schema).load(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    try:
+        spark.read.text(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def write_append_resumable(
@@ -58,15 +80,36 @@ def write_append_resumable(
 ) -> None:
     """Append only the keys the target does not hold; a second run adds nothing.
 
-    The commit is per job, so a lost run leaves the target as it was.
+    The commit is per job, so a lost run leaves the target as it was. For progress that survives see
+    ``append_in_slices``.
     """
-    spark = df.sparkSession
-    if path_exists(spark, path):
-        stored = spark.read.format(fmt).schema(df.schema).load(path)
-        df = pending(df, stored, key)
+    df = pending(df, read_or_empty(df.sparkSession, path, df.schema, fmt), key)
     df.write.format(fmt).mode("append").save(path)
 
 
+def append_in_slices(
+    keys: DataFrame,
+    evaluate: Callable[[DataFrame], DataFrame],
+    path: str,
+    schema: T.StructType,
+    slices: int = 16,
+    key: str = "route_id",
+    fmt: str = "parquet",
+) -> None:
+    """Evaluate the keys that the target lacks, slice by slice of their hash, each with its own commit.
+
+    A lost run keeps the slices before it; the next run goes on with the rest. ``evaluate`` maps a slice of
+    keys to rows of ``schema``.
+    """
+    spark = keys.sparkSession
+    todo = keys.select(key).distinct()
+    for number in range(slices):
+        part = todo.where(F.pmod(F.xxhash64(key), F.lit(slices)) == number)
+        part = pending(part, read_or_empty(spark, path, schema, fmt), key)
+        if not part.isEmpty():
+            schemas.conform(evaluate(part), schema).write.format(fmt).mode("append").save(path)
+
+
 def empty_gold(spark: SparkSession) -> DataFrame:
     """The typed, empty target table."""
     return spark.createDataFrame([], schemas.ROUTE_COMPARISON)
