@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waykit.llm.common import WHITESPACE, lower_ascii, pick
+from waykit.llm.common import WHITESPACE, lower_ascii, pick, stored
 
 
 def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -45,8 +45,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> Data
     else:
         held = by_key.agg(F.min("doc_id").alias("keeper"), F.count_distinct("doc_id").alias("held"))
         shared = held.where(F.col("held") >= min_docs)
+    # Written down, so that Spark sees both sides of the join as they are and splits what is skewed.
+    shared = stored(shared.select("h1", "h2", "keeper"), "shared-lines")
     dropped = (
-        keys.join(shared.select("h1", "h2", "keeper"), ["h1", "h2"])
+        keys.join(shared, ["h1", "h2"])
         .where("doc_id <> keeper")
         .groupBy("doc_id", "print")
         .agg(F.collect_set("pos").alias("dropped"))
