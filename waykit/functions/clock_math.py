@@ -6,14 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
+LONGEST = 1e10  # seconds; anything beyond is no time that a route can take
 
 _DEPARTURE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def seconds_to_micros(seconds: Column) -> Column:
-    """Whole microseconds, half to even, so that sums are exact in any order."""
-    return F.rint(seconds * F.lit(float(MICROS))).cast("bigint")
+    """Whole microseconds, half to even, so that sums are exact in any order.
+
+    Null for NaN, infinite and absurd values, which the callers treat as missing or as a fault.
+    """
+    usable = ~F.isnan(seconds) & (F.abs(seconds) <= LONGEST)
+    return F.when(usable, F.rint(seconds * F.lit(float(MICROS))).cast("bigint"))
 
 
 def micros_to_seconds(micros: Column) -> Column:

@@ -30,6 +30,23 @@ def valid_windows(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("opens").isNotNull() & F.col("closes").isNotNull())
 
 
+def package_faults(packages: DataFrame) -> DataFrame:
+    """(route_id, fault) of routes with a package whose service time or window cannot be read.
+
+    A route that counted such a window as none would look better than it is, so it is rejected instead.
+    """
+
+    def unreadable(name: str):
+        return cm.clean_missing(F.col(name)).isNotNull() & cm.window_timestamp(F.col(name)).isNull()
+
+    service = F.col("planned_service_time_seconds")
+    fault = F.when(service.isNotNull() & cm.seconds_to_micros(service).isNull(), "BAD_SERVICE").when(
+        unreadable("time_window_start") | unreadable("time_window_end"), "BAD_WINDOW"
+    )
+    faulty = packages.select("route_id", fault.alias("fault")).where("fault IS NOT NULL")
+    return faulty.groupBy("route_id").agg(F.min("fault").alias("fault"))
+
+
 def stop_windows(packages: DataFrame) -> DataFrame:
     """Distinct windows per stop with their package counts, combined before the shuffle."""
     valid = valid_windows(parse_windows(packages))
@@ -49,15 +66,19 @@ def parse_departure(routes: DataFrame) -> DataFrame:
 
 
 def join_leg_travel(legs: DataFrame, travel: DataFrame) -> DataFrame:
-    """Travel time of each leg; null on the last stop and where the matrix has no entry."""
+    """Travel time of each leg; null on the last stop and where the matrix has no entry.
+
+    A repeated edge counts once, with its smallest time, as everywhere. The join's partitioning serves
+    the grouping too.
+    """
     edges = travel.select(
         "route_id",
         F.col("from_stop_id").alias("stop_id"),
         F.col("to_stop_id").alias("next_stop_id"),
         cm.seconds_to_micros(F.col("travel_seconds")).alias("travel_us"),
     )
-    # Legs are a small part of the edges: hash them and stream the edges past, unsorted.
-    return legs.hint("shuffle_hash").join(edges, ["route_id", "stop_id", "next_stop_id"], "left")
+    joined = legs.join(edges, ["route_id", "stop_id", "next_stop_id"], "left")
+    return joined.groupBy(*legs.columns).agg(F.min("travel_us").alias("travel_us"))
 
 
 def join_stop_service(seq: DataFrame, packages: DataFrame) -> DataFrame:
@@ -66,10 +87,14 @@ def join_stop_service(seq: DataFrame, packages: DataFrame) -> DataFrame:
 
 
 def leg_costs(seq: DataFrame, travel: DataFrame, packages: DataFrame) -> DataFrame:
-    """Per position: travel to the next stop plus service here, both counted on leaving."""
+    """Per position: travel to the next stop plus service here, both counted on leaving.
+
+    Staying at a stop takes no time where the matrix has no entry for it.
+    """
     legs = join_stop_service(join_leg_travel(route_legs(seq), travel), packages)
+    stays = F.when(F.col("stop_id") == F.col("next_stop_id"), F.lit(0))
     cost = F.when(
-        F.col("next_stop_id").isNotNull(), F.col("travel_us") + F.col("service_us")
+        F.col("next_stop_id").isNotNull(), F.coalesce("travel_us", stays) + F.col("service_us")
     ).otherwise(F.lit(0))
     return legs.withColumn("cost_us", cost.cast("bigint"))
 
@@ -184,7 +209,12 @@ def score_sequences(seq: DataFrame, silver, segment: int = SEGMENT) -> DataFrame
         F.count_if(F.col("cost_us").isNull()).alias("_missing"),
         F.count_if(F.col("departure_us").isNull()).alias("_undated"),
     )
-    reason = F.when(F.col("_missing") > 0, "MISSING_EDGE").when(F.col("_undated") > 0, "BAD_DEPARTURE")
+    reason = (
+        F.when(F.col("_missing") > 0, "MISSING_EDGE")
+        .when(F.col("_undated") > 0, "BAD_DEPARTURE")
+        .otherwise(F.col("fault"))
+    )
+    scored = scored.join(package_faults(silver.packages), "route_id", "left")
     return scored.select(*KEYS, "violations", "total_us", reason.alias("reject_reason"))
 
 

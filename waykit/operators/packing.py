@@ -6,12 +6,12 @@ routes go through ``long_routes`` instead, which gives the same results without
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waykit import schemas
 from waykit.functions import clock_math as cm
-from waykit.operators.clock import parse_departure, stop_service, stop_windows
+from waykit.operators.clock import package_faults, parse_departure, stop_service, stop_windows
 from waykit.session import task_count
 from waykit.sources.tables import broadcast_if_small
 
@@ -81,45 +81,38 @@ def route_headers(stops: DataFrame) -> DataFrame:
     )
 
 
-def _aligned(targets: Column, stop_ids: Column) -> Column:
-    """Travel times in stop order: as collected when the targets are the stops, else looked up."""
-    micros = targets["travel_us"]
-    found = F.map_from_entries(
-        F.filter(
-            targets,
-            lambda t, k: (k == 0) | (F.get(targets, k - 1)["to_stop_id"] != t["to_stop_id"]),
-        )
+def known_edges(travel: DataFrame, headers: DataFrame) -> DataFrame:
+    """(route_id, n, k, to_k, travel_us) between stops of the route, one row per pair.
+
+    Edges of foreign stops are dropped and a repeated edge keeps its smallest time before anything is
+    collected, so a route never holds more than n * n of them.
+    """
+    place = lambda stop: (F.array_position("stop_ids", F.col(stop)) - 1).cast("int")
+    edges = travel.join(headers.select("route_id", "n", "stop_ids"), "route_id").select(
+        "route_id",
+        "n",
+        place("from_stop_id").alias("k"),
+        place("to_stop_id").alias("to_k"),
+        cm.seconds_to_micros(F.col("travel_seconds")).alias("travel_us"),
     )
-    return F.when(targets["to_stop_id"] == stop_ids, micros).otherwise(
-        F.transform(stop_ids, lambda s: F.try_element_at(found, s))
+    return edges.where("k >= 0 AND to_k >= 0").groupBy("route_id", "n", "k", "to_k").agg(
+        F.min("travel_us").alias("travel_us")
     )
 
 
 def travel_lookup(travel: DataFrame, headers: DataFrame, partitions: int) -> DataFrame:
-    """(route_id, matrix_us): row-major n*n travel times in stop order.
+    """(route_id, matrix_us): row-major n*n travel times in stop order; shorter where edges are missing.
 
-    The edges are shuffled once, on route; the inner and outer grouping and the header join reuse
-    that partitioning. A repeated edge counts once, with its smallest time.
+    The edges are shuffled once, on route; the header join and all three groupings reuse that partitioning.
     """
-    edges = travel.select(
-        "route_id",
-        "from_stop_id",
-        F.struct(
-            "to_stop_id", cm.seconds_to_micros(F.col("travel_seconds")).alias("travel_us")
-        ).alias("edge"),
-    ).repartition(partitions, "route_id")
-    rows = edges.groupBy("route_id", "from_stop_id").agg(
-        F.sort_array(F.collect_list("edge")).alias("targets")
-    )
-    aligned = rows.join(headers.select("route_id", "stop_ids").hint("shuffle_hash"), "route_id").select(
-        "route_id",
-        (F.array_position("stop_ids", F.col("from_stop_id")) - 1).cast("int").alias("k"),
-        _aligned(F.col("targets"), F.col("stop_ids")).alias("times"),
+    edges = known_edges(travel.repartition(partitions, "route_id"), headers)
+    rows = edges.groupBy("route_id", "k").agg(
+        F.sort_array(F.collect_list(F.struct("to_k", "travel_us"))).alias("times")
     )
-    matrix = aligned.where("k >= 0").groupBy("route_id").agg(
-        F.sort_array(F.collect_list(F.struct("k", "times"))).alias("rows")
+    matrix = rows.groupBy("route_id").agg(F.sort_array(F.collect_list(F.struct("k", "times"))).alias("rows"))
+    return matrix.select(
+        "route_id", F.flatten(F.transform("rows", lambda r: r["times"]["travel_us"])).alias("matrix_us")
     )
-    return matrix.select("route_id", F.flatten(F.col("rows")["times"]).alias("matrix_us"))
 
 
 def packages_by_stop(packages: DataFrame) -> DataFrame:
@@ -196,20 +189,19 @@ def pack_all(silver, cut: RouteCut | None = None) -> DataFrame:
     departures = parse_departure(cut.short(silver.routes)).select(
         "route_id", cm.epoch_micros(F.col("departure")).alias("departure_us")
     )
-    # The matrices are streamed past hash tables of the narrow sides: they are neither sorted nor moved again.
     packed = (
-        headers.hint("shuffle_hash")
-        .join(matrix, "route_id", "left")
-        .join(packages.hint("shuffle_hash"), "route_id", "left")
-        .join(departures.hint("shuffle_hash"), "route_id", "left")
+        headers.join(matrix, "route_id", "left")
+        .join(packages, "route_id", "left")
+        .join(departures, "route_id", "left")
+        .join(package_faults(cut.short(silver.packages)), "route_id", "left")
     )
     complete = (F.size("matrix_us") == F.col("n") * F.col("n")) & F.forall(
         "matrix_us", lambda x: x.isNotNull()
     )
     reason = F.when(~F.coalesce(complete, F.col("n") == 1), "MISSING_EDGE").when(
         F.col("departure_us").isNull(), "BAD_DEPARTURE"
-    )
-    return relative_windows(packed).withColumn("reject_reason", reason)
+    ).otherwise(F.col("fault"))
+    return relative_windows(packed.withColumn("reject_reason", reason).drop("fault"))
 
 
 def pack_routes(silver, cut: RouteCut | None = None) -> DataFrame:

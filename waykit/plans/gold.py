@@ -9,13 +9,24 @@ from waykit import schemas
 from waykit.functions.clock_math import micros_to_seconds
 from waykit.operators import long_routes
 from waykit.operators.nearest import nearest_neighbor
-from waykit.operators.packing import MAX_PACKED_STOPS, RouteCut, actual_route_list, num_stops, pack_routes, packing_rejects, station_routes
-from waykit.operators.two_opt import MAX_PASSES, two_opt_constrained
+from waykit.operators.packing import (
+    MAX_PACKED_STOPS,
+    RouteCut,
+    actual_route_list,
+    num_stops,
+    pack_routes,
+    packing_rejects,
+    route_headers,
+    station_routes,
+    travel_lookup,
+)
+from waykit.operators.two_opt import MAX_PASSES, score_two_opt_moves, two_opt_constrained
+from waykit.session import task_count
 
 
 def _with_actual(packed: DataFrame, sequences: DataFrame) -> DataFrame:
     """The driven order as stop indexes; -1 marks a stop the route does not have."""
-    joined = packed.join(actual_route_list(sequences).hint("shuffle_hash"), "route_id", "left")
+    joined = packed.join(actual_route_list(sequences), "route_id", "left")
     index = F.transform(
         "actual_route", lambda s: (F.array_position(F.col("stop_ids"), s) - 1).cast("int")
     )
@@ -38,6 +49,87 @@ def solve_routes(
     return solved
 
 
+def nearest_routes(silver, max_stops: int = MAX_PACKED_STOPS, cells: int = long_routes.CELLS) -> DataFrame:
+    """(route_id, stop_ids, nn_route) of every depot route that can be solved, of any length."""
+    cut = RouteCut(silver, max_stops)
+    found = nearest_neighbor(pack_routes(silver, cut)).select("route_id", "stop_ids", "nn_route")
+    if cut.any_long:
+        found = found.unionByName(long_routes.nearest_routes(long_routes.prepare(silver, cut, cells)))
+    return found
+
+
+def score_driven_moves(silver, max_stops: int = MAX_PACKED_STOPS, cells: int = long_routes.CELLS) -> DataFrame:
+    """Every legal move on the driven order of every route that can be solved, per segment start.
+
+    The order must visit every stop once: moves are not defined for other sequences.
+    """
+    cut = RouteCut(silver, max_stops)
+    packed = _with_actual(pack_routes(silver, cut), cut.short(silver.sequences)).where(
+        "size(actual) = n AND size(array_distinct(actual)) = n"
+    )
+    scored = score_two_opt_moves(packed, "actual")
+    if cut.any_long:
+        prepared = long_routes.prepare(silver, cut, cells)
+        scored = scored.unionByName(long_routes.score_moves(prepared, long_routes.driven_orders(prepared)))
+    return scored
+
+
+def score_solved_moves(silver, solved: DataFrame, max_stops: int = MAX_PACKED_STOPS, cells: int = long_routes.CELLS) -> DataFrame:
+    """Every legal move on the improved routes of ``solved``."""
+    cut = RouteCut(silver, max_stops)
+    orders = solved.select("route_id", "algo_route")
+    scored = score_two_opt_moves(pack_routes(silver, cut).join(orders, "route_id"), "algo_route")
+    if cut.any_long:
+        prepared = long_routes.prepare(silver, cut, cells)
+        long_orders = prepared.headers.select("route_id", "n").join(orders.withColumnRenamed("algo_route", "route"), "route_id")
+        scored = scored.unionByName(long_routes.score_moves(prepared, long_orders))
+    return scored
+
+
+def packed_digests(silver, max_stops: int = MAX_PACKED_STOPS, cells: int = long_routes.CELLS) -> DataFrame:
+    """What a solver gets of every route that can be solved, in numbers, packed or held as rows."""
+    cut = RouteCut(silver, max_stops)
+    zero = F.lit(0).cast("bigint")
+    weighted = F.transform("matrix_us", lambda x, k: x * (k + 1))
+    loads = [
+        F.aggregate("service_us", zero, lambda a, x: a + x).alias("service_us"),
+        F.aggregate("windows", zero, lambda a, w: a + w["packages"]).alias("windowed_packages"),
+        F.aggregate("windows", zero, lambda a, w: a + w["opens_us"] * w["packages"] * (w["k"] + 1)).alias("windows_digest"),
+    ]
+    head = ["route_id", "n", "num_stops", "start", F.element_at("stop_ids", -1).alias("last_stop_id")]
+    digest = F.coalesce(F.aggregate(weighted, zero, lambda a, x: a + x), zero).alias("digest")  # one stop needs no edge
+    found = pack_routes(silver, cut).select(*head, digest, *loads)
+    if cut.any_long:
+        p = long_routes.prepare(silver, cut, cells)
+        held = p.headers.select(*head).join(_row_digests(p.rows).drop("cells"), "route_id", "left")
+        held = held.withColumn("digest", F.coalesce("digest", F.lit(0))).join(p.loads.select("route_id", *loads), "route_id")
+        found = found.unionByName(held)
+    return found
+
+
+def _row_digests(rows: DataFrame) -> DataFrame:
+    """(route_id, cells, digest) of matrix rows."""
+    placed = F.transform("times", lambda x, to: x * (F.col("k").cast("bigint") * F.col("n") + to + 1))
+    total = F.aggregate(placed, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    parts = rows.select("route_id", F.size("times").alias("cells"), total.alias("digest"))
+    return parts.groupBy("route_id").agg(F.sum("cells").cast("int").alias("cells"), F.sum("digest").alias("digest"))
+
+
+def matrix_digests(silver, max_stops: int = MAX_PACKED_STOPS) -> DataFrame:
+    """(route_id, cells, digest) of the travel matrix of every depot route, packed or held as rows."""
+    cut = RouteCut(silver, max_stops)
+    zero = F.lit(0).cast("bigint")
+    matrix = travel_lookup(cut.short(silver.travel), route_headers(cut.short(silver.stops)), task_count(silver.stops.sparkSession))
+    weighted = F.transform("matrix_us", lambda x, k: x * (k + 1))
+    found = matrix.select(
+        "route_id", F.size("matrix_us").alias("cells"), F.aggregate(weighted, zero, lambda a, x: a + x).alias("digest")
+    )
+    if cut.any_long:
+        rows = long_routes.matrix_rows(cut.long(silver.travel), route_headers(cut.long(silver.stops)))
+        found = found.unionByName(_row_digests(rows))
+    return found
+
+
 def rejected_routes(silver, max_stops: int = MAX_PACKED_STOPS) -> DataFrame:
     """Depot routes left out of the comparison and why; nothing is dropped without a row here."""
     cut = RouteCut(silver, max_stops)

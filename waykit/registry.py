@@ -11,7 +11,7 @@ from waykit import fixtures, schemas
 from waykit.functions import arrays
 from waykit.functions import clock_math as cm
 from waykit.operators import clock, guardrail, packing, sampling, sequences, silver, similar, two_opt
-from waykit.operators.nearest import named_route, nearest_neighbor
+from waykit.operators.nearest import named_route
 from waykit.plans import gold as gold_plans
 from waykit.plans import kpi
 from waykit.session import scratch_dir
@@ -209,16 +209,7 @@ _silver_query(
 )
 
 
-@query
-def travel_lookup(spark, sf_dir):
-    s = fixtures.silver(spark, sf_dir)
-    cut = packing.RouteCut(s)
-    headers = packing.route_headers(cut.short(s.stops))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    matrix = packing.travel_lookup(cut.short(s.travel), headers, partitions)
-    weighted = F.transform("matrix_us", lambda x, k: x * (k + 1))
-    total = F.aggregate(weighted, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return matrix.select("route_id", F.size("matrix_us").alias("cells"), total.alias("digest"))
+_silver_query("travel_lookup", gold_plans.matrix_digests)
 
 
 def _listed(column: Column) -> Column:
@@ -370,7 +361,7 @@ def nn_argmin(spark, sf_dir):
     """First step of the construction: the stop nearest to the depot."""
     s = fixtures.silver(spark, sf_dir)
     depots = packing.station_routes(s.stops).withColumnRenamed("start_stop_id", "from_stop_id")
-    options = s.travel.join(depots.hint("shuffle_hash"), ["route_id", "from_stop_id"])
+    options = s.travel.join(depots, ["route_id", "from_stop_id"])
     options = options.where("to_stop_id <> from_stop_id")
     closest = F.min(F.struct(cm.seconds_to_micros(F.col("travel_seconds")).alias("us"), "to_stop_id"))
     return options.groupBy("route_id").agg(closest.alias("c")).select(
@@ -413,14 +404,7 @@ _silver_query("sample_routes", lambda s: sampling.sample_routes(s.routes, SAMPLE
 _silver_query("order_actual", lambda s: _actual(s).select("route_id", "pos", "stop_id"))
 
 
-def _packed_actual(s: Silver) -> DataFrame:
-    """Packed depot routes with the driven order as stop indexes."""
-    cut = packing.RouteCut(s)
-    packed = gold_plans._with_actual(packing.pack_routes(s, cut), cut.short(s.sequences))
-    return packed.where("actual IS NOT NULL")
-
-
-_silver_query("best_score", lambda s: two_opt.best_score(two_opt.score_two_opt_moves(_packed_actual(s), "actual")))
+_silver_query("best_score", lambda s: two_opt.best_score(gold_plans.score_driven_moves(s)))
 
 
 # Arrays and sets
@@ -477,32 +461,11 @@ _silver_query(
 # Route operators
 
 
-@query
-def pack_routes(spark, sf_dir):
-    packed = packing.pack_routes(fixtures.silver(spark, sf_dir))
-    zero = F.lit(0).cast("bigint")
-    return packed.select(
-        "route_id",
-        "n",
-        "num_stops",
-        "start",
-        F.element_at("stop_ids", -1).alias("last_stop_id"),
-        F.aggregate("service_us", zero, lambda a, x: a + x).alias("service_us"),
-        F.aggregate(F.transform("matrix_us", lambda x, k: x * (k + 1)), zero, lambda a, x: a + x).alias("digest"),
-        F.aggregate("windows", zero, lambda a, w: a + w["packages"]).alias("windowed_packages"),
-        F.aggregate("windows", zero, lambda a, w: a + w["opens_us"] * w["packages"] * (w["k"] + 1)).alias(
-            "windows_digest"
-        ),
-    )
-
-
-@query
-def nearest_neighbor_routes(spark, sf_dir):
-    routed = nearest_neighbor(packing.pack_routes(fixtures.silver(spark, sf_dir)))
-    return routed.select("route_id", F.posexplode(named_route("nn_route")).alias("pos", "stop_id"))
-
-
-QUERIES["nearest_neighbor"] = QUERIES.pop("nearest_neighbor_routes")
+_silver_query("pack_routes", gold_plans.packed_digests)
+_silver_query(
+    "nearest_neighbor",
+    lambda s: gold_plans.nearest_routes(s).select("route_id", F.posexplode(named_route("nn_route")).alias("pos", "stop_id")),
+)
 _silver_query(
     "evaluate_routes", lambda s: clock.evaluate_routes(_actual(s), s).drop("variant")
 )
@@ -515,14 +478,12 @@ _silver_query(
         "route_id", "pos", "stop_id", "arrival_us", "violations_so_far"
     ),
 )
-_silver_query("score_two_opt_moves", lambda s: two_opt.score_two_opt_moves(_packed_actual(s), "actual"))
+_silver_query("score_two_opt_moves", gold_plans.score_driven_moves)
 
 
 @query
 def two_opt_constrained(spark, sf_dir):
-    packed = packing.pack_routes(fixtures.silver(spark, sf_dir))
-    solved = two_opt.two_opt_constrained(nearest_neighbor(packed))
-    return solved.select(
+    return gold_plans.solve_routes(fixtures.silver(spark, sf_dir)).select(
         "route_id",
         _listed(named_route("algo_route")).alias("algo_stops"),
         "algo_violations",
@@ -553,9 +514,8 @@ def two_opt_invariants(spark, sf_dir):
     routes = solved.select("route_id", named_route("algo_route").alias("stops"))
     rescored = clock.score_sequences(sequences.array_sequence(routes, "stops", "algo"), s)
     rescored = rescored.select("route_id", F.struct("violations", "total_us").alias("again"))
-    packed = packing.pack_routes(s).join(solved.select("route_id", "algo_route"), "route_id")
     improving = (
-        two_opt.score_two_opt_moves(packed, "algo_route")
+        gold_plans.score_solved_moves(s, solved)
         .groupBy("route_id")
         .agg(F.sum("improving_moves").alias("improving"))
     )
@@ -569,7 +529,8 @@ def two_opt_invariants(spark, sf_dir):
         "I3 not worse than baseline": algo > nn,
         "I4 score reproduced": ~same,
         "I5 no better move left": (F.col("algo_passes_run") < two_opt.MAX_PASSES)
-        & (F.coalesce("improving", F.lit(0)) > 0),
+        & (F.size("algo_route") > 2)
+        & (F.coalesce("improving", F.lit(1)) > 0),  # a route without scored moves is not proven
     }
     counts = joined.agg(
         F.count("*").alias("routes"), *[F.count_if(bad).alias(name) for name, bad in checks.items()]

@@ -11,8 +11,12 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 # Settings that suit the packing stage where executors have memory to spare: the hash aggregate that
-# collects matrix rows then falls back to sorting later than Spark's default of 128 groups.
-TUNING = {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384"}
+# collects matrix rows then falls back to sorting later than Spark's default of 128 groups, and joins
+# hash a side instead of sorting both where every partition of it has been measured to be small.
+TUNING = {
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+}
 
 _local_scratch: dict[str, tempfile.TemporaryDirectory] = {}  # removed when the process ends
 
