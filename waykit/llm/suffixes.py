@@ -388,6 +388,8 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         .where("n > 1")
         .select("anchor", (F.col("one") != F.col("other")).alias("contested"), (F.col("n") > HEAVY).alias("heavy"))
     )
+    # Written down, so that Spark sees both sides of the join as they are and splits what is skewed.
+    shared = stored(shared, "repeat-anchors")
     runs = texts.select("doc_id", "print", "text").mapInArrow(
         all_runs, "doc_id bigint, print bigint, start bigint, windows int, anchor bigint, at int, content bigint"
     )
