@@ -178,3 +178,68 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.sql("DROP TABLE IF EXISTS bucketed_stops")
         spark.sql("DROP TABLE IF EXISTS bucketed_routes")
+
+
+def test_every_key_is_flattened_or_rejected(spark, tmp_path):
+    """A truncated file, a record of another shape and stray text lose nothing without a row."""
+    source = network(spark, {f"RouteID_{k}": {"travel": four_stops(), "order": list("ABCD")} for k in range(3)})
+    makers = (documents.route_docs, documents.route_package_docs, documents.sequence_docs, documents.route_travel_docs)
+    for file, docs in zip(keyed_json.RAW_FILES, makers):
+        rows = {r.route_id: json.loads(r.d) for r in sorted(docs(source).selectExpr("route_id", "to_json(doc) AS d").collect())}
+        text = json.dumps(rows)
+        if file == "travel_times.json":
+            text = text[:-60]
+        if file == "actual_sequences.json":
+            text = text.replace('"RouteID_1": ', '"RouteID_1": [1, 2], "RouteID_9": ')
+        if file == "route_data.json":
+            text = '{"Other_5": {"station_code": 1}, ' + text[1:]
+        (tmp_path / file).write_text(text)
+    silver_store.write_documents(keyed_json.read_bronze(spark, str(tmp_path)), str(tmp_path / "silver"))
+    stored = silver_store.load_silver(spark, str(tmp_path / "silver"))
+    rejected = {(r.file, r.route_id) for r in spark.read.parquet(str(tmp_path / "silver/rejected_documents")).collect()}
+    assert rejected == {("travel", "RouteID_2"), ("sequences", "RouteID_1"), ("routes", None)}
+    ids = lambda df: {r.route_id for r in df.select("route_id").distinct().collect()}
+    assert ids(stored.travel) == {"RouteID_0", "RouteID_1"} and ids(stored.routes) == {f"RouteID_{k}" for k in range(3)}
+    assert ids(stored.sequences) == {"RouteID_0", "RouteID_2", "RouteID_9"}
+
+
+def test_load_into_a_target_that_a_lost_write_left_empty(spark, tmp_path):
+    source = network(spark, {f"R{k}": {"travel": four_stops(), "order": list("ABCD")} for k in range(3)})
+    landing, target, state = (str(tmp_path / n) for n in ("landing", "target", "state"))
+    (tmp_path / "target" / "_temporary" / "0").mkdir(parents=True)
+    source.routes.write.parquet(landing)
+    incremental_evaluate(spark, landing, target, state, lambda ids: gold.route_comparison(source, ids)).awaitTermination()
+    got = spark.read.schema(schemas.ROUTE_COMPARISON).parquet(target).collect()
+    assert sorted(got) == sorted(gold.route_comparison(source).collect())
+
+
+def test_catalog_tables(spark):
+    rows = spark.createDataFrame([("R1", 1), ("R2", 2)], "route_id string, n int")
+    try:
+        tables.write_overwrite(rows, "waykit_rows")
+        assert sorted(tables.read_table(spark, "waykit_rows", ["route_id"]).collect()) == [("R1",), ("R2",)]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS waykit_rows")
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master, applicationId = "spark://host:7077", "a"
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    from waykit.session import scratch_dir
+
+    Context.folder = None
+    with pytest.raises(ValueError):
+        scratch_dir(Session, "x")
+    Context.folder = "s3a://bucket/shared"
+    assert scratch_dir(Session, "x").startswith("s3a://bucket/shared/x-")

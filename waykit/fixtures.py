@@ -227,7 +227,8 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_bronze(source: Silver, root: str) -> None:
-    makers = (documents.route_docs, documents.package_docs, documents.sequence_docs, documents.travel_docs)
+    # One record per route and file, the shape that lands; fixture routes are at most 200 stops wide.
+    makers = (documents.route_docs, documents.route_package_docs, documents.sequence_docs, documents.route_travel_docs)
     for file, docs in zip(keyed_json.RAW_FILES, makers):
         keyed_json.write_keyed_json(docs(source), f"{root}/{file}")
 

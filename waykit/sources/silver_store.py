@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from waykit import schemas
 from waykit.operators import silver
-from waykit.sources import tables
+from waykit.sources import keyed_json, tables
 
 
 @dataclass(frozen=True)
@@ -43,6 +43,12 @@ def silver_from_documents(docs: dict[str, DataFrame]) -> Silver:
     )
 
 
+def write_documents(docs: dict[str, DataFrame], root: str) -> None:
+    """The silver tables of ``keyed_json.read_bronze``, and beside them the records that cannot be read."""
+    write_silver(silver_from_documents(docs), root)
+    tables.write_overwrite(keyed_json.rejected_documents(docs), f"{root}/rejected_documents")
+
+
 def write_silver(silver: Silver, root: str) -> None:
     for name in ("routes", "stops", "packages", "sequences", "travel"):
         tables.write_overwrite(getattr(silver, name), f"{root}/{name}")
