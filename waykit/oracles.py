@@ -360,6 +360,90 @@ BODIES: dict[str, str] = {
 }
 
 
+# Constrained 2-opt: one row per route, one step of the scan per round. A step takes the first end, from ``j0`` on, whose
+# reversal from ``i`` is better; it is scored from the prefix sums ``arr`` (arrivals) and ``bk`` (driving backwards).
+_MAX_PASSES = 10
+
+
+def _sums(order: str, cost: str) -> str:
+    """Prefix sums over an order of ``cost``, an expression of the position ``q`` before the leg."""
+    return (
+        f"list_transform(range(0, n), lambda p: CAST(coalesce(list_sum(list_transform(range(0, p), "
+        f"lambda q: {cost.format(o=order)})), 0) AS BIGINT))"
+    )
+
+
+_ARRIVE = "mat[{o}[q + 1] * n + {o}[q + 2] + 1] + svc[{o}[q + 1] + 1]"
+_BACK = "mat[{o}[q + 2] * n + {o}[q + 1] + 1] + svc[{o}[q + 2] + 1]"
+_PLACES = "list_transform(win, lambda w: list_position({o}, w.k) - 1)"
+_LATE = "CAST({t} < win[x].o OR {t} > win[x].c AS INTEGER)"
+
+
+def _broken(arrival: str) -> str:
+    return (
+        "CAST(coalesce(list_sum(list_transform(range(1, len(win) + 1), lambda x: " + _LATE.format(t=f"({arrival})") + ")), 0) AS BIGINT)"
+    )
+
+
+TWO_OPT_STEPS = f"""
+o_const AS MATERIALIZED (SELECT r.route_id, r.n, r.stops, r.svc, m.mat, coalesce(w.win, []) AS win
+    FROM (SELECT k.route_id, count(*) AS n, list(k.stop_id ORDER BY k.k) AS stops,
+        list(coalesce(s.service_us, 0) ORDER BY k.k) AS svc FROM o_ranked k
+        LEFT JOIN o_service s ON s.route_id = k.route_id AND s.stop_id = k.stop_id GROUP BY k.route_id) r
+    JOIN o_stations d ON d.route_id = r.route_id
+    JOIN (SELECT route_id, list(travel_us ORDER BY from_stop_id, to_stop_id) AS mat FROM o_edges GROUP BY route_id) m
+      ON m.route_id = r.route_id
+    LEFT JOIN (SELECT w.route_id, list(struct_pack(k := k.k, o := w.opens_us - p.departure_us,
+        c := w.closes_us - p.departure_us) ORDER BY w.package_id) AS win FROM o_windows w
+        JOIN o_ranked k ON k.route_id = w.route_id AND k.stop_id = w.stop_id
+        JOIN o_departures p ON p.route_id = w.route_id GROUP BY w.route_id) w ON w.route_id = r.route_id),
+o_begin AS MATERIALIZED (SELECT *, {_broken("arr[wpos[x] + 1]")} AS viol, arr[n] AS total FROM (
+    SELECT c.*, o.ord, {_sums("ord", _ARRIVE)} AS arr, {_sums("ord", _BACK)} AS bk, {_PLACES.format(o="ord")} AS wpos
+    FROM o_const c JOIN (SELECT w.route_id, list(k.k ORDER BY w.pos) AS ord FROM o_walk w
+      JOIN o_ranked k ON k.route_id = w.route_id AND k.stop_id = w.stop_id GROUP BY w.route_id) o ON o.route_id = c.route_id)),
+o_scan AS (SELECT route_id, ord, arr, bk, wpos, viol, total, 1 AS i, 2 AS j0, false AS moved, 0 AS passes, false AS done
+    FROM o_begin
+  UNION ALL
+  SELECT route_id, ord2,
+    CASE WHEN hit IS NULL THEN arr ELSE {_sums("ord2", _ARRIVE)} END,
+    CASE WHEN hit IS NULL THEN bk ELSE {_sums("ord2", _BACK)} END,
+    CASE WHEN hit IS NULL THEN wpos ELSE {_PLACES.format(o="ord2")} END,
+    coalesce(hit.v, viol), coalesce(hit.t, total),
+    CASE WHEN at_end THEN 1 WHEN hit IS NULL OR hit.j = n - 1 THEN i + 1 ELSE i END,
+    CASE WHEN at_end THEN 2 WHEN hit IS NULL OR hit.j = n - 1 THEN i + 2 ELSE CAST(hit.j + 1 AS INTEGER) END,
+    CASE WHEN at_end THEN false ELSE moved OR hit IS NOT NULL END,
+    CASE WHEN at_end THEN passes + 1 ELSE passes END,
+    at_end AND (NOT moved OR passes + 1 >= {_MAX_PASSES})
+  FROM (SELECT *, CASE WHEN hit IS NULL THEN ord
+      ELSE list_concat(list_concat(ord[1:i], list_reverse(ord[i + 1:hit.j + 1])), ord[hit.j + 2:]) END AS ord2
+    FROM (SELECT *, CASE WHEN at_end THEN NULL ELSE list_filter(
+        list_transform(CASE WHEN viol = 0 THEN list_filter(ends, lambda m: m.t < total) ELSE ends END,
+          lambda m: struct_pack(j := m.j, t := m.t, v := {_broken("CASE WHEN wpos[x] < i THEN arr[wpos[x] + 1] WHEN wpos[x] <= m.j THEN m.b - bk[wpos[x] + 1] ELSE arr[wpos[x] + 1] + m.s END")})),
+        lambda m: m.v < viol OR (m.v = viol AND m.t < total))[1] END AS hit
+      FROM (SELECT *, list_transform(bases, lambda m: struct_pack(j := m.j, b := m.b,
+          s := m.b - bk[i + 1] + svc[ord[i + 1] + 1] + mat[ord[i + 1] * n + ord[m.j + 2] + 1] - arr[m.j + 2],
+          t := CASE WHEN m.j = n - 1 THEN m.b - bk[i + 1] ELSE arr[n] + m.b - bk[i + 1] + svc[ord[i + 1] + 1]
+            + mat[ord[i + 1] * n + ord[m.j + 2] + 1] - arr[m.j + 2] END)) AS ends
+        FROM (SELECT z.*, c.n, c.mat, c.svc, c.win, z.i > c.n - 2 AS at_end,
+            list_transform(CASE WHEN z.i > c.n - 2 THEN [] ELSE range(z.j0, c.n) END, lambda j: struct_pack(j := j,
+              b := z.arr[z.i] + c.svc[z.ord[z.i] + 1] + c.mat[z.ord[z.i] * c.n + z.ord[j + 1] + 1] + z.bk[j + 1])) AS bases
+          FROM o_scan z JOIN o_const c ON c.route_id = z.route_id WHERE NOT z.done))))),
+o_improved AS (SELECT z.route_id, array_to_string(list_transform(z.ord, lambda k: c.stops[k + 1]), ',') AS algo_stops,
+    CAST(z.viol AS INTEGER) AS algo_violations, z.total / 1000000.0E0 AS algo_time_seconds, z.passes AS algo_passes_run
+    FROM o_scan z JOIN o_const c ON c.route_id = z.route_id WHERE z.done)
+"""
+
+TWO_OPT_BODIES = {
+    "two_opt_constrained": "SELECT * FROM o_improved",
+    "route_comparison": f"""SELECT {_GOLD} FROM (SELECT w.route_id, n.num_stops, w.total_us / 1000000.0E0 AS nn_time_seconds,
+        w.violations AS nn_violations, i.algo_time_seconds, i.algo_violations,
+        a.total_us / 1000000.0E0 AS actual_time_seconds, a.violations AS actual_violations, i.algo_passes_run
+        FROM o_walk_scored w JOIN o_num_stops n ON n.route_id = w.route_id
+        JOIN o_scored a ON a.route_id = w.route_id AND a.variant = 'actual' JOIN o_improved i ON i.route_id = w.route_id)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     head = f"WITH RECURSIVE {fixtures.oracle_ctes()},\n{STEPS.strip()}"
-    return {name: f"{head}\n{body}" for name, body in BODIES.items()}
+    found = {name: f"{head}\n{body}" for name, body in BODIES.items()}
+    return found | {name: f"{head},\n{TWO_OPT_STEPS.strip()}\n{body}" for name, body in TWO_OPT_BODIES.items()}
