@@ -239,7 +239,7 @@ def test_blocks_find_every_fingerprint_within_the_radius():
         i = int(rng.integers(40))
         bits = np.unpackbits(prints[i])
         bits[rng.choice(128, int(rng.integers(0, decontam.RADIUS + 1)), replace=False)] ^= 1
-        assert i in index.near(np.packbits(bits))
+        assert index.near(np.packbits(bits), i)
 
 
 def test_leaks_equal_sliding_windows(spark):

@@ -82,12 +82,9 @@ class BenchmarkIndex:
             tables,
         )
 
-    def near(self, fingerprint: np.ndarray) -> set[int]:
-        """Items that share a block within one bit: every item within RADIUS is among them."""
-        found: set[int] = set()
-        for b in range(BLOCKS):
-            found |= self.tables[b].get(int(fingerprint[b]), set())
-        return found
+    def near(self, fingerprint: np.ndarray, item: int) -> bool:
+        """Whether the item shares a block within one bit, as every item within RADIUS does."""
+        return any(item in self.tables[b].get(int(fingerprint[b]), ()) for b in range(BLOCKS))
 
 
 def shingle_list(text: str) -> tuple[np.ndarray, int]:
@@ -150,7 +147,7 @@ def match_text(hashes: np.ndarray, known: np.ndarray, index: BenchmarkIndex) ->
             prints = fingerprints(windows)
             apart = np.unpackbits(prints ^ index.prints[i], axis=-1).sum(axis=-1)
             for k, start in enumerate(some.tolist()):
-                if i not in index.near(prints[k]) or apart[k] > RADIUS:
+                if not index.near(prints[k], i) or apart[k] > RADIUS:
                     continue
                 similarity = weighted_similarity(index.bags[i], windows[k])
                 if similarity >= SIMILARITY - 1e-12 and (similarity, -start) > best.get(i, (0.0, 0))[:2]:

@@ -231,9 +231,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Chain:
         .limit(SAMPLE_DOCS)
     )
     texts = pick(docs, doc_id="bigint", text="string").join(F.broadcast(known), "doc_id")  # SAMPLE_DOCS rows
-    rows = texts.select("doc_id", "text", "label").limit(2 * SAMPLE_DOCS).mapInArrow(
+    features = texts.select("doc_id", "text", "label").mapInArrow(
         gather, "doc_id bigint, label int, features binary, weights binary"
-    ).toPandas().sort_values(["doc_id", "features"])
+    )
+    # More rows than ids only where rows repeat an id.
+    rows = features.limit(2 * SAMPLE_DOCS).toPandas().sort_values(["doc_id", "features"])
     feats = [np.frombuffer(f, np.float32).reshape(-1, WIDTH) for f in rows["features"]]
     if not feats:
         return fit(np.zeros((0, WIDTH)), np.zeros(0), np.zeros(0, int), np.zeros(0, int))

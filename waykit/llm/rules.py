@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waykit.llm.common import UPPER, WHITESPACE, pick, stored, words
@@ -108,11 +108,9 @@ def choose_cutoffs(rows: DataFrame, labels: DataFrame, alpha: float = ALPHA, del
         F.count("*").alias("n"),
         *[F.count_if(F.col(r) > c).alias(f"{r}_{k}") for r in RULES for k, c in enumerate(CUTOFFS)],
     )
-    strata = counts.agg(F.count("*").alias("strata"))
+    counts = counts.withColumn("strata", F.count("*").over(Window.partitionBy()))  # one row per stratum
     level = F.lit(delta) / (F.col("strata") * (len(RULES) * len(CUTOFFS)))
-    tested = counts.join(F.broadcast(strata)).withColumn(  # one row
-        "most", allowed_rejections(F.col("n"), alpha / len(RULES), level)
-    )
+    tested = counts.withColumn("most", allowed_rejections(F.col("n"), alpha / len(RULES), level))
     # A higher cutoff never rejects more, so the lowest passing one is the first that passes.
     chosen = [
         F.coalesce(*[F.when(F.col(f"{r}_{k}") <= F.col("most"), F.lit(c)) for k, c in enumerate(CUTOFFS)]).alias(
