@@ -81,35 +81,29 @@ def route_headers(stops: DataFrame) -> DataFrame:
     )
 
 
-def known_edges(travel: DataFrame, headers: DataFrame) -> DataFrame:
-    """(route_id, n, k, to_k, travel_us) between stops of the route, one row per pair.
+def travel_lookup(travel: DataFrame, headers: DataFrame, partitions: int) -> DataFrame:
+    """(route_id, matrix_us): row-major n*n travel times in stop order; shorter where edges are missing.
 
-    Edges of foreign stops are dropped and a repeated edge keeps its smallest time before anything is
-    collected, so a route never holds more than n * n of them.
+    Edges to foreign stops become one and a repeated edge keeps its smallest time before anything is
+    collected, so a row has at most n + 1 times; rows of foreign stops are dropped before they meet. The edges
+    are shuffled once, on route; both header joins and all groupings reuse that partitioning.
     """
     place = lambda stop: (F.array_position("stop_ids", F.col(stop)) - 1).cast("int")
-    edges = travel.join(headers.select("route_id", "n", "stop_ids"), "route_id").select(
+    index = headers.select("route_id", "stop_ids")
+    known = travel.repartition(partitions, "route_id").join(index, "route_id").select(
         "route_id",
-        "n",
-        place("from_stop_id").alias("k"),
+        "from_stop_id",
         place("to_stop_id").alias("to_k"),
         cm.seconds_to_micros(F.col("travel_seconds")).alias("travel_us"),
     )
-    return edges.where("k >= 0 AND to_k >= 0").groupBy("route_id", "n", "k", "to_k").agg(
-        F.min("travel_us").alias("travel_us")
-    )
-
-
-def travel_lookup(travel: DataFrame, headers: DataFrame, partitions: int) -> DataFrame:
-    """(route_id, matrix_us): row-major n*n travel times in stop order; shorter where edges are missing.
-
-    The edges are shuffled once, on route; the header join and all three groupings reuse that partitioning.
-    """
-    edges = known_edges(travel.repartition(partitions, "route_id"), headers)
-    rows = edges.groupBy("route_id", "k").agg(
-        F.sort_array(F.collect_list(F.struct("to_k", "travel_us"))).alias("times")
+    edges = known.groupBy("route_id", "from_stop_id", "to_k").agg(F.min("travel_us").alias("travel_us"))
+    # Foreign targets are one entry, -1, by now. A filter on to_k would be moved into the join and look every stop up twice.
+    collected = F.sort_array(F.collect_list(F.struct("to_k", "travel_us")))
+    rows = edges.groupBy("route_id", "from_stop_id").agg(collected.alias("t")).select(
+        "route_id", "from_stop_id", F.filter("t", lambda t: t["to_k"] >= 0).alias("times")
     )
-    matrix = rows.groupBy("route_id").agg(F.sort_array(F.collect_list(F.struct("k", "times"))).alias("rows"))
+    placed = rows.join(index, "route_id").select("route_id", place("from_stop_id").alias("k"), "times").where("k >= 0")
+    matrix = placed.groupBy("route_id").agg(F.sort_array(F.collect_list(F.struct("k", "times"))).alias("rows"))
     return matrix.select(
         "route_id", F.flatten(F.transform("rows", lambda r: r["times"]["travel_us"])).alias("matrix_us")
     )
