@@ -183,8 +183,10 @@ def pack_all(silver, cut: RouteCut | None = None) -> DataFrame:
     departures = parse_departure(cut.short(silver.routes)).select(
         "route_id", cm.epoch_micros(F.col("departure")).alias("departure_us")
     )
+    # Headers are dealt like the matrices, so that routes stay spread over all tasks of the solvers that follow.
     packed = (
-        headers.join(matrix, "route_id", "left")
+        headers.repartition(partitions, "route_id")
+        .join(matrix, "route_id", "left")
         .join(packages, "route_id", "left")
         .join(departures, "route_id", "left")
         .join(package_faults(cut.short(silver.packages)), "route_id", "left")
