@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import tempfile
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -270,6 +271,29 @@ def test_leaks_equal_sliding_windows(spark):
     assert stays == {d for d, *_ in rows} - {d for d, _ in want}
 
 
+def test_leaks_with_repeated_words():
+    """Against brute force over all windows, where a run of equal words is replaced by another one."""
+    bag = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    r, far = random.Random(7), 0
+    for k in range(120):
+        run = (9, 12, 14, 3)[k % 4]
+        ahead, behind = prose(k, 75 + k % 5).split(" "), prose(900 + k, 75 + k % 3).split(" ")
+        item = [*ahead, *["aaa"] * run, *behind]
+        leaked = [*ahead, *["bbb"] * (run + k % 3), *behind]
+        if k % 5 == 0:
+            leaked[r.randrange(len(leaked))] = "other"
+        words = [*prose(5000 + k, 30).split(" "), *leaked, *prose(7000 + k, 20).split(" ")]
+        want, mine = (0.0, 0), bag(item)
+        for s in range(len(words) - len(item) + 1):
+            shared = (mine & bag(words[s : s + len(item)])).total()
+            want = max(want, (shared / (2 * mine.total() - shared), -s))
+        index = decontam.BenchmarkIndex.build([(k, " ".join(item))])
+        got = list(decontam.leaks(pa.array([" ".join(words)]), index))
+        assert [(x[2], x[5]) for x in got] == ([(-want[1], want[0])] if want[0] >= 0.8 else [])
+        far += any(x[4] > decontam.RADIUS for x in got)
+    assert far > 10  # leaks that a radius would lose
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     items = [(i, prose(1000 + i, 30)) for i in range(20)]
     rows = [(i, f"{prose(i, 20)} {items[i][1]} {prose(99 + i, 9)}", "en", "a", 0) for i in range(20)]

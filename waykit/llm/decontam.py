@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash over item-sized windows, multi-index lookup, exact verification."""
+"""Benchmark decontamination: item-sized windows found by shared shingles, compared exactly, with their SimHash."""
 
 from __future__ import annotations
 
@@ -44,6 +44,7 @@ class BenchmarkIndex:
 
     ids: list[int | None]
     n_words: np.ndarray
+    sizes: np.ndarray
     bags: list[dict[int, int]]
     shingles: np.ndarray
     shingle_items: list[np.ndarray]
@@ -75,6 +76,7 @@ class BenchmarkIndex:
         return cls(
             ids,
             np.array(sizes, dtype=np.int64),
+            np.array([sum(bag.values()) for bag in bags], dtype=np.int64),
             bags,
             known,
             [np.array(holders[int(h)]) for h in known],
@@ -101,60 +103,50 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return tv.span_hashes(tv.LOWER[data], starts, ends), owner, starts
 
 
-def weighted_similarity(bag: dict[int, int], window: np.ndarray) -> float:
-    """Exact weighted Jaccard of two shingle bags, each shingle weighing as often as it occurs."""
-    values, counts = np.unique(window, return_counts=True)
-    shared = sum(min(int(c), bag.get(int(v), 0)) for v, c in zip(values, counts, strict=True))
-    return shared / (len(window) + sum(bag.values()) - shared)
+def best_window(places: np.ndarray, values: np.ndarray, bag: dict[int, int], length: int, last: int) -> tuple[int, int]:
+    """(shared shingles, start) of the window that shares most with an item, the first of equal ones; exact.
+
+    ``places`` are where a text has shingles of the item, in order, ``values`` those shingles. A window of ``length``
+    starts at ``last`` at most. One at p counts in the windows that hold it and fewer earlier equal ones than the item has,
+    which is one span of starts; so all windows are counted from the ends of the spans.
+    """
+    order = np.argsort(values, kind="stable")
+    same, at = values[order], places[order]
+    wanted = np.array([bag[v] for v in same.tolist()], dtype=np.int64)
+    full = np.arange(len(same)) - wanted  # the last equal one that a window must have left behind
+    behind = np.maximum(full, 0)
+    after = np.where((full >= 0) & (same[behind] == same), at[behind] + 1, 0)
+    low = np.maximum(after, np.maximum(at - length + 1, 0))
+    fits = (low <= last) & (low <= at)
+    low, high = np.sort(low[fits]), np.sort(at[fits])
+    starts = np.unique(low)  # the count rises nowhere else
+    shared = np.searchsorted(low, starts, "right") - np.searchsorted(high, starts, "left")
+    k = int(np.argmax(shared))
+    return int(shared[k]), int(starts[k])
 
 
-def windows_of(hashes: np.ndarray, known: np.ndarray, index: BenchmarkIndex) -> Iterator[tuple[int, np.ndarray, int]]:
-    """(item, window starts, window length in shingles) that can reach the similarity, for one text.
+def match_text(hashes: np.ndarray, known: np.ndarray, index: BenchmarkIndex) -> Iterator[tuple[int, int, int, int, float]]:
+    """(item, start, words, hamming, similarity) of the best window of each item that the text leaks.
 
-    A window's intersection with an item is at most its number of shingles that the item has, so a window
-    with fewer than SIMILARITY times the item's shingles cannot match; no other window is left out.
+    A window shares at most as many shingles with an item as the text has of the item, so a text with fewer than
+    SIMILARITY times the item's shingles cannot match; every window of other texts is counted exactly.
     """
     hits: dict[int, list[int]] = {}
-    at = np.flatnonzero(known >= 0)
-    for p in at.tolist():
+    for p in np.flatnonzero(known >= 0).tolist():
         for i in index.shingle_items[known[p]].tolist():
             hits.setdefault(i, []).append(p)
-    for i, places in hits.items():
-        size = sum(index.bags[i].values())
-        least = SIMILARITY * size - 1e-9
-        if len(places) < least:
+    for i, held in hits.items():
+        size = int(index.sizes[i])
+        if len(held) < SIMILARITY * size - 1e-9:
             continue
         length = min(size, len(hashes))
-        spots = np.array(places)
-        # Only windows near the item's shingles: each stretch of starts that reach a hit, merged where they overlap.
-        lows = np.maximum(spots - length + 1, 0)
-        highs = np.minimum(spots, len(hashes) - length)
-        breaks = np.flatnonzero(lows[1:] > np.maximum.accumulate(highs)[:-1] + 1) + 1
-        for low, high in zip(lows[np.r_[0, breaks]], highs[np.r_[breaks - 1, len(spots) - 1]], strict=True):
-            starts = np.arange(low, high + 1)
-            inside = np.searchsorted(spots, starts + length) - np.searchsorted(spots, starts)
-            if len(starts := starts[inside >= least]):
-                yield i, starts, length
-
-
-def match_text(hashes: np.ndarray, known: np.ndarray, index: BenchmarkIndex) -> Iterator[tuple[int, int, int, int, float]]:
-    """(item, start, words, hamming, similarity) of the best window of each item that the text leaks."""
-    best: dict[int, tuple] = {}
-    for i, starts, length in windows_of(hashes, known, index):
-        for block in range(0, len(starts), 256):
-            some = starts[block : block + 256]
-            windows = hashes[some[:, None] + np.arange(length)]
-            prints = fingerprints(windows)
-            apart = np.unpackbits(prints ^ index.prints[i], axis=-1).sum(axis=-1)
-            for k, start in enumerate(some.tolist()):
-                if not index.near(prints[k], i) or apart[k] > RADIUS:
-                    continue
-                similarity = weighted_similarity(index.bags[i], windows[k])
-                if similarity >= SIMILARITY - 1e-12 and (similarity, -start) > best.get(i, (0.0, 0))[:2]:
-                    words = length + SHINGLE - 1 if index.n_words[i] >= SHINGLE else int(index.n_words[i])
-                    best[i] = (similarity, -start, words, int(apart[k]))
-    for i, (similarity, start, words, apart) in best.items():
-        yield i, -start, words, apart, similarity
+        places = np.array(held)
+        shared, start = best_window(places, hashes[places], index.bags[i], length, len(hashes) - length)
+        similarity = shared / (length + size - shared)
+        if similarity >= SIMILARITY - 1e-12:
+            words = length + SHINGLE - 1 if index.n_words[i] >= SHINGLE else int(index.n_words[i])
+            window = fingerprints(hashes[None, start : start + length])[0]
+            yield i, start, words, int(np.unpackbits(window ^ index.prints[i]).sum()), similarity
 
 
 def leaks(column: pa.Array, bench: BenchmarkIndex) -> Iterator[tuple[int, int, int, int, int, float]]:
@@ -233,10 +225,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start_word, n_words, hamming, similarity): the best window of every item that a text leaks.
 
     Words are runs of letters and digits, A-Z lower-cased; shingles have five of them. A window has as many words as
-    the item (the whole text where that is shorter). It matches where its 128-bit SimHash is within 31 bits of the
-    item's, found by 16 blocks of which one must agree up to one bit, and the exact weighted Jaccard of
-    the shingle bags is at least 0.8. Shared shingles decide beforehand which windows can reach that at
-    all, so texts without any cost one lookup per shingle. Items of fewer than five words match as exact sequences.
+    the item (the whole text where that is shorter). It matches where the weighted Jaccard of the shingle bags is at
+    least 0.8, counted exactly for every window of a text that has enough of the item's shingles; texts without any cost
+    one lookup per shingle. ``hamming`` is the distance of the 128-bit SimHashes and decides nothing, since no
+    radius keeps all windows of that similarity. Items of fewer than five words match as exact sequences.
 
     Nothing is shuffled: the benchmark is broadcast in blocks of at most 16 MB of text (``BLOCK_BYTES``, measured
     first), one pass over the texts per block. Null and empty texts and items match nothing, null ids stay null,
