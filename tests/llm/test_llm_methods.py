@@ -294,6 +294,13 @@ def test_leaks_with_repeated_words():
     assert far > 10  # leaks that a radius would lose
 
 
+def test_index_holds_no_tables_that_no_leak_depends_on():
+    items = [(i, prose(i, 20)) for i in range(5)]
+    index = decontam.BenchmarkIndex.build(items)
+    assert index.tables == []
+    assert [x[1] for x in decontam.leaks(pa.array([" ".join(t for _, t in items)]), index)] == [0, 1, 2, 3, 4]
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     items = [(i, prose(1000 + i, 30)) for i in range(20)]
     rows = [(i, f"{prose(i, 20)} {items[i][1]} {prose(99 + i, 9)}", "en", "a", 0) for i in range(20)]

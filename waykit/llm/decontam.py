@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +37,9 @@ def fingerprints(windows: np.ndarray) -> np.ndarray:
 
 @dataclass
 class BenchmarkIndex:
-    """One block of items: their shingles, and their fingerprints by block value.
+    """One block of items: their shingles with the items that hold them, and their fingerprints.
 
+    The shingles alone give the items to compare. ``tables`` is left empty: it is what ``near`` looks items up in, where
     ``tables[b][v]`` lists the items whose block ``b`` is ``v`` or differs from it in one bit.
     """
 
@@ -49,7 +50,7 @@ class BenchmarkIndex:
     shingles: np.ndarray
     shingle_items: list[np.ndarray]
     prints: np.ndarray
-    tables: list[dict[int, set[int]]]
+    tables: list[dict[int, set[int]]] = field(default_factory=list)
 
     @classmethod
     def build(cls, items: list[tuple[int | None, str | None]]) -> BenchmarkIndex:
@@ -68,11 +69,6 @@ class BenchmarkIndex:
             for h in bag:
                 holders.setdefault(h, []).append(i)
         known = np.array(sorted(holders), dtype=np.uint64)
-        tables: list[dict[int, set[int]]] = [{} for _ in range(BLOCKS)]
-        for i, p in enumerate(prints):
-            for b in range(BLOCKS):
-                for v in [int(p[b])] + [int(p[b]) ^ (1 << bit) for bit in range(8)]:
-                    tables[b].setdefault(v, set()).add(i)
         return cls(
             ids,
             np.array(sizes, dtype=np.int64),
@@ -81,11 +77,10 @@ class BenchmarkIndex:
             known,
             [np.array(holders[int(h)]) for h in known],
             np.array(prints, dtype=np.uint8).reshape(-1, BLOCKS),
-            tables,
         )
 
     def near(self, fingerprint: np.ndarray, item: int) -> bool:
-        """Whether the item shares a block within one bit, as every item within RADIUS does."""
+        """Whether the item shares a block within one bit, as every item within RADIUS does. No leak depends on it."""
         return any(item in self.tables[b].get(int(fingerprint[b]), ()) for b in range(BLOCKS))
 
 
