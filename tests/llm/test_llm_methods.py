@@ -210,6 +210,37 @@ def test_components_of_near_copies(spark, monkeypatch, light, group):
     equal_to_sql(jaccard.digest(frame(spark, rows)), jaccard.ORACLE, documents=documents_frame(rows))
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_join_of_rows_that_share_a_doc_id_or_have_none(spark, turned):
+    def near(seed):
+        words = prose(seed, 90).split(" ")
+        words[40] = "changed"
+        return " ".join(words)
+
+    rows = [(2, prose(1, 90)), (5, near(1)), (5, prose(2, 90)), (8, near(2)), (5, "alone as it is"), (7, prose(3, 90)), (7, prose(3, 90)),
+            (7, near(3)), (None, near(1)), (None, prose(4, 90)), (None, near(4)), (None, prose(4, 90)), (0, prose(5, 90)), (None, prose(5, 90)),
+            (9, prose(6, 90)), (None, "nothing like it"), (None, None), (3, ""), (3, "")]
+    rows = [(i, t, "en", "a", 0) for i, t in (rows[::-1] if turned else rows)]
+    got = sorted(map(tuple, jaccard.similar_documents(frame(spark, rows)).collect()), key=str)
+    want = []
+    bag = lambda t: {tuple(w[k : k + 5]) for w in [(t or "").split()] for k in range(max(len(w) - 4, min(len(w), 1)))}
+    sets = [bag(t) for _, t, *_ in rows]
+    link = [[a != b and bool(x & y) and len(x & y) >= 0.8 * len(x | y) for b, y in enumerate(sets)] for a, x in enumerate(sets)]
+    reach = [{a} for a in range(len(rows))]
+    for _ in rows:
+        reach = [set().union(*(reach[b] for b in range(len(rows)) if link[a][b]), r) for a, r in enumerate(reach)]
+    for a, (i, *_) in enumerate(rows):
+        ids = [rows[b][0] for b in reach[a] if rows[b][0] is not None]
+        want.append((i, len(sets[a]), min(ids, default=None), sum(link[a])))
+    assert got == sorted(want, key=str)
+    kept = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in jaccard.one_of_each(frame(spark, rows)).collect())
+    first = [min((rows[b][0] is None, rows[b][0] or 0) for b in r) for r in reach]
+    groups = {frozenset(r): f for r, f in zip(reach, first, strict=True)}
+    assert sorted(k[:2] for k in kept) == sorted(groups.values())
+    texts = [k[2] for k in kept]
+    assert {prose(1, 90), "alone as it is", "nothing like it"} <= set(texts) and len(set(texts) & {prose(2, 90), near(2)}) == 1
+
+
 def test_components_of_graphs(spark):
     r = random.Random(3)
     chain = [(i, i + 1) for i in range(200)]
