@@ -99,6 +99,18 @@ def test_pages_edge_rows(spark):
     assert arc.digest(pages.limit(0)).count() == 0
 
 
+def test_pages_with_the_largest_and_smallest_numbers(spark):
+    ids = (2**63 - 1, 2**63 - 2, 10**18, -(2**63), 1 - 2**63, -(10**18), 0)
+    rows = [(i, "http://h", ("same", "also")[k % 2]) for k, i in enumerate(ids)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = arc.digest(pages).collect()  # pandas would round numbers beside nulls
+    assert {r["page_id"]: r["refers_to"] for r in got} == {
+        i: None if i <= 1 - 2**63 else {"same": 1 - 2**63, "also": -(2**63)}[h] for i, _, h in rows
+    }
+    assert len(got) == len(rows)
+    assert [arc.whole_number(t) for t in (str(2**63), str(-(2**63) - 1), "1" * 20, "", "-", None)] == [None] * 6
+
+
 def test_conversations_edge_rows(spark):
     rows = [(1, 0, "system", "be <|im_start|> ~1 brief"), (1, 1, "user", None), (1, 2, "assistant", ""), (2, 0, "assistant", "x" * 5000),
             (2, 1, None, "who\n"), (2, 1, "assistant", "a b " * 600), (3, 5, "system", "only"), (4, 1, "user", "<~1|"), (4, 0, "assistant", "é 漢"),

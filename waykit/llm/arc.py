@@ -140,7 +140,9 @@ def head_value(head: bytes, name: str) -> str | None:
 
 
 def whole_number(text: str | None) -> int | None:
-    return int(text) if text and re.fullmatch(r"-?\d{1,18}", text) else None
+    """A number of the signed 64-bit range, else none."""
+    n = int(text) if text and re.fullmatch(r"-?\d{1,19}", text) else None
+    return n if n is not None and -(2**63) <= n < 2**63 else None
 
 
 def warc_date(arc_date: str) -> str:
