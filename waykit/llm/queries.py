@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waykit.llm import arc, chat, decontam, jaccard, lines, mixing, quality, rules, sharding, suffixes
+from waykit.llm import arc, chat, decontam, jaccard, licenses, lines, mixing, quality, rules, sharding, suffixes
 from waykit.llm.common import table
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_simhash_leaks": lambda spark, d: decontam.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op9_repeated_bytes": lambda spark, d: suffixes.digest(table(spark, d, "documents")),
     "op10_line_dedup": lambda spark, d: lines.digest(table(spark, d, "documents")),
+    "op12_license_scan": lambda spark, d: licenses.digest(table(spark, d, "documents")),
 }
 
 ORACLES = {
@@ -26,4 +27,5 @@ ORACLES = {
     "op7_certified_rules": rules.ORACLE,
     "op9_repeated_bytes": suffixes.ORACLE,
     "op10_line_dedup": lines.ORACLE,
+    "op12_license_scan": licenses.ORACLE,
 }
