@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waykit.llm import arc, chat, decontam, jaccard, licenses, lines, mixing, quality, rules, sharding, suffixes
+from waykit.llm import arc, chat, decontam, jaccard, licenses, lines, mixing, negatives, quality, ranking, rules, sharding, suffixes
 from waykit.llm.common import table
 
 QUERIES = {
@@ -16,7 +16,9 @@ QUERIES = {
     "op8_simhash_leaks": lambda spark, d: decontam.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op9_repeated_bytes": lambda spark, d: suffixes.digest(table(spark, d, "documents")),
     "op10_line_dedup": lambda spark, d: lines.digest(table(spark, d, "documents")),
+    "op11_hard_negatives": lambda spark, d: negatives.digest(table(spark, d, "embeddings")),
     "op12_license_scan": lambda spark, d: licenses.digest(table(spark, d, "documents")),
+    "op13_ball_tree_ranking": lambda spark, d: ranking.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
 }
 
 ORACLES = {
@@ -27,5 +29,7 @@ ORACLES = {
     "op7_certified_rules": rules.ORACLE,
     "op9_repeated_bytes": suffixes.ORACLE,
     "op10_line_dedup": lines.ORACLE,
+    "op11_hard_negatives": negatives.ORACLE,
     "op12_license_scan": licenses.ORACLE,
+    "op13_ball_tree_ranking": ranking.ORACLE,
 }
