@@ -26,6 +26,7 @@ from waykit.plans.gold import join_variants
 from waykit.session import scratch_dir
 from waykit.sources import keyed_json, tables
 from waykit.sources.silver_store import Silver
+from waykit.sources.travel_blocks import TravelBlocks, load_blocks, write_blocks
 
 
 def _route_no(key: str) -> str:
@@ -156,11 +157,11 @@ def derive(spark: SparkSession, sf_dir: str) -> Silver:
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, layer: str, write: Callable[[str], None]) -> str:
-    """Folder of a layer written once per application; written anew if it has gone."""
+def _once(spark: SparkSession, sf_dir: str, layer: str, write: Callable[[str], None], last: str = "") -> str:
+    """Folder of a layer written once per application; written anew if it, or the part of it written last, has gone."""
     key = (spark.sparkContext.applicationId, sf_dir, layer)
     root = _written.get(key)
-    if root is None or not tables.path_exists(spark, root):
+    if root is None or not tables.path_exists(spark, f"{root}/{last}"):
         root = scratch_dir(spark, layer)
         write(root)
         _written[key] = root
@@ -181,8 +182,18 @@ class StoredOnUse:
         root = table_root(self._spark, self._sf_dir, name, getattr(self._derived, name))
         return self._spark.read.schema(getattr(self._derived, name).schema).parquet(root)
 
+    @property
+    def blocks(self) -> TravelBlocks:
+        """The travel table as bucketed matrix blocks."""
+        root = _once(self._spark, self._sf_dir, "travel-blocks", lambda path: write_blocks(self._derived.travel, path), "layout")
+        return load_blocks(self._spark, root)
+
+    @property
+    def times(self) -> TravelBlocks:
+        return self.blocks
+
     def whole(self) -> Silver:
-        return Silver(*(getattr(self, f) for f in self.FIELDS))
+        return Silver(*(getattr(self, f) for f in self.FIELDS), blocks=self.blocks)
 
     def semi(self, ids: DataFrame) -> Silver:
         return self.whole().semi(ids)

@@ -1,4 +1,4 @@
-"""One row per route with everything a solver needs, built with one shuffle of the edge table.
+"""One row per route with everything a solver needs; with travel stored as blocks no edge is shuffled, else once.
 
 Only routes of at most ``max_stops`` stops are packed, so a row never exceeds a known size; longer
 routes go through ``long_routes`` instead, which gives the same results without packing.
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from waykit import schemas
 from waykit.functions import clock_math as cm
-from waykit.operators.clock import package_faults, parse_departure, stop_service, stop_windows
+from waykit.operators.clock import route_facts, stop_service, stop_windows
 from waykit.session import task_count
 from waykit.sources.tables import broadcast_if_small
 
@@ -43,7 +43,11 @@ def long_route_ids(silver, max_stops: int = MAX_PACKED_STOPS) -> DataFrame:
         silver.sequences.select("route_id", F.lit(0).alias("stop"), F.lit(1).alias("visit"))
     )
     counts = rows.groupBy("route_id").agg(F.sum("stop").alias("stops"), F.sum("visit").alias("visits"))
-    return counts.where(F.greatest("stops", "visits") > max_stops).select("route_id")
+    tall = counts.where(F.greatest("stops", "visits") > max_stops).select("route_id")
+    blocks = getattr(silver, "blocks", None)
+    if blocks and blocks.any_spread:  # their matrix is not one row either
+        tall = tall.union(blocks.spread.select("route_id")).distinct()
+    return tall
 
 
 class RouteCut:
@@ -176,21 +180,20 @@ def stops_by_route(stops: DataFrame) -> DataFrame:
 def pack_all(silver, cut: RouteCut | None = None) -> DataFrame:
     """Packed routes with a ``reject_reason``, null where the route can be solved."""
     cut = cut or RouteCut(silver)
-    partitions = task_count(silver.stops.sparkSession)
     headers = route_headers(cut.short(silver.stops))
-    matrix = travel_lookup(cut.short(silver.travel), headers, partitions)
     packages = packed_packages(cut.short(silver.packages), headers)
-    departures = parse_departure(cut.short(silver.routes)).select(
-        "route_id", cm.epoch_micros(F.col("departure")).alias("departure_us")
-    )
-    # Headers are dealt like the matrices, so that routes stay spread over all tasks of the solvers that follow.
-    packed = (
-        headers.repartition(partitions, "route_id")
-        .join(matrix, "route_id", "left")
-        .join(packages, "route_id", "left")
-        .join(departures, "route_id", "left")
-        .join(package_faults(cut.short(silver.packages)), "route_id", "left")
-    )
+    facts = route_facts(cut.short(silver.routes), cut.short(silver.packages))
+    small = headers.join(packages, "route_id", "left").join(facts, "route_id", "left")
+    blocks = getattr(silver, "blocks", None)
+    if blocks:
+        # Dealt as the blocks lie, so only the small side is shuffled. The join also keeps Spark from working the matrix
+        # out anew wherever a solver reads a cell.
+        packed = small.join(blocks.matrices(headers), "route_id", "left")
+    else:
+        partitions = task_count(silver.stops.sparkSession)
+        # Headers are dealt like the matrices, so that routes stay spread over all tasks of the solvers that follow.
+        matrix = travel_lookup(cut.short(silver.travel), headers, partitions)
+        packed = small.repartition(partitions, "route_id").join(matrix, "route_id", "left")
     complete = (F.size("matrix_us") == F.col("n") * F.col("n")) & F.forall(
         "matrix_us", lambda x: x.isNotNull()
     )

@@ -119,7 +119,12 @@ def matrix_digests(silver, max_stops: int = MAX_PACKED_STOPS) -> DataFrame:
     """(route_id, cells, digest) of the travel matrix of every depot route, packed or held as rows."""
     cut = RouteCut(silver, max_stops)
     zero = F.lit(0).cast("bigint")
-    matrix = travel_lookup(cut.short(silver.travel), route_headers(cut.short(silver.stops)), task_count(silver.stops.sparkSession))
+    headers = route_headers(cut.short(silver.stops))
+    blocks = getattr(silver, "blocks", None)
+    if blocks:
+        matrix = blocks.matrices(headers)
+    else:
+        matrix = travel_lookup(cut.short(silver.travel), headers, task_count(silver.stops.sparkSession))
     weighted = F.transform("matrix_us", lambda x, k: x * (k + 1))
     found = matrix.select(
         "route_id", F.size("matrix_us").alias("cells"), F.aggregate(weighted, zero, lambda a, x: a + x).alias("digest")

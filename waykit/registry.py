@@ -277,7 +277,7 @@ _silver_query(
 
 
 def _met(s: Silver) -> DataFrame:
-    timed = clock.join_route_info(clock.arrival_times(_actual(s), s.travel, s.packages), s.routes)
+    timed = clock.join_route_info(clock.arrival_times(_actual(s), s.times, s.packages), s.routes)
     return clock.join_arrival_windows(timed, s.packages).select(
         "route_id", "pos", "stop_id", "arrival_us", "opens_us", "closes_us", "packages", "broken"
     )
@@ -291,7 +291,7 @@ _gold_query("failure_routes", similar.failure_routes)
 
 _silver_query(
     "join_leg_travel",
-    lambda s: clock.join_leg_travel(sequences.route_legs(_actual(s)), s.travel).select(
+    lambda s: clock.join_leg_travel(sequences.route_legs(_actual(s)), s.times).select(
         "route_id", "pos", "stop_id", "next_stop_id", cm.micros_to_seconds(F.col("travel_us")).alias("travel_seconds")
     ),
 )
@@ -303,7 +303,7 @@ _silver_query("join_arrival_windows", _met)
 _silver_query(
     "join_route_info",
     lambda s: clock.join_route_info(
-        clock.arrival_times(_actual(s), s.travel, s.packages), s.routes
+        clock.arrival_times(_actual(s), s.times, s.packages), s.routes
     ).select("route_id", "pos", "departure_us", "arrival_us"),
 )
 _silver_query(
@@ -343,7 +343,7 @@ _silver_query("stop_service", lambda s: clock.stop_service(s.packages))
 _silver_query("route_violations", lambda s: clock.route_violations(_actual(s), s).drop("variant"))
 _silver_query(
     "route_total_time",
-    lambda s: clock.route_total_time(_actual(s), s.travel, s.packages).select("route_id", "total_us"),
+    lambda s: clock.route_total_time(_actual(s), s.times, s.packages).select("route_id", "total_us"),
 )
 _silver_query("num_stops", lambda s: packing.num_stops(s.stops))
 _silver_query("distinct_routes", lambda s: tables.distinct_routes(s.travel))
@@ -377,7 +377,7 @@ _silver_query(
 )
 _silver_query(
     "arrival_times",
-    lambda s: clock.arrival_times(_actual(s), s.travel, s.packages).select(
+    lambda s: clock.arrival_times(_actual(s), s.times, s.packages).select(
         "route_id", "pos", "stop_id", "offset_us"
     ),
 )
@@ -387,7 +387,7 @@ _silver_query(
 )
 _silver_query(
     "reverse_prefix",
-    lambda s: clock.reverse_prefix(_actual(s), s.travel, s.packages).select("route_id", "pos", "reverse_us"),
+    lambda s: clock.reverse_prefix(_actual(s), s.times, s.packages).select("route_id", "pos", "reverse_us"),
 )
 _silver_query(
     "first_station",

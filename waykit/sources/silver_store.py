@@ -1,4 +1,7 @@
-"""The five silver tables as one value: from documents, from storage, to storage."""
+"""The five silver tables as one value: from documents, from storage, to storage.
+
+Storage holds the travel table a second time as bucketed matrix blocks, which scoring and packing read.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from waykit import schemas
 from waykit.operators import silver
 from waykit.sources import keyed_json, tables
+from waykit.sources.travel_blocks import TravelBlocks, load_blocks, write_blocks
 
 
 @dataclass(frozen=True)
@@ -20,6 +24,12 @@ class Silver:
     packages: DataFrame
     sequences: DataFrame
     travel: DataFrame
+    blocks: TravelBlocks | None = None
+
+    @property
+    def times(self) -> DataFrame | TravelBlocks:
+        """Where to look travel times up: the blocks if there are any, else the edges."""
+        return self.blocks or self.travel
 
     def semi(self, ids: DataFrame) -> "Silver":
         """All five tables cut down to the given route ids, which are broadcast only if few."""
@@ -28,7 +38,8 @@ class Silver:
             *(
                 getattr(self, f).join(keep, "route_id", "left_semi")
                 for f in ("routes", "stops", "packages", "sequences", "travel")
-            )
+            ),
+            blocks=self.blocks and self.blocks.semi(keep),
         )
 
 
@@ -52,6 +63,8 @@ def write_documents(docs: dict[str, DataFrame], root: str) -> None:
 def write_silver(silver: Silver, root: str) -> None:
     for name in ("routes", "stops", "packages", "sequences", "travel"):
         tables.write_overwrite(getattr(silver, name), f"{root}/{name}")
+    spark = silver.travel.sparkSession
+    write_blocks(spark.read.schema(schemas.FACT_TRAVEL_TIMES).parquet(f"{root}/travel"), f"{root}/travel_blocks")
 
 
 def load_silver(spark: SparkSession, root: str) -> Silver:
@@ -64,4 +77,5 @@ def load_silver(spark: SparkSession, root: str) -> Silver:
         packages=scan("packages", schemas.DIM_PACKAGES),
         sequences=scan("sequences", schemas.FACT_ACTUAL_SEQUENCES),
         travel=scan("travel", schemas.FACT_TRAVEL_TIMES),
+        blocks=load_blocks(spark, f"{root}/travel_blocks"),
     )

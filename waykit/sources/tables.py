@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waykit import schemas
+from waykit.session import scratch_dir
 
 
 def read_table(spark: SparkSession, name: str, columns: list[str], fmt: str = "parquet") -> DataFrame:
@@ -50,6 +51,13 @@ def write_bucketed(
     )
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once in the shared scratch folder and read again: what follows does not evaluate it anew."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pending(df: DataFrame, done: DataFrame, key: str = "route_id") -> DataFrame:
     """Rows whose key is not stored yet."""
     return df.join(done.select(key).distinct(), key, "left_anti")
