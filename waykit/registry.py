@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,13 +132,27 @@ def write_overwrite(spark, sf_dir):
 
 @query
 def write_append_resumable(spark, sf_dir):
+    """Loads the comparison in slices, is lost in the middle and tears a slice, then ends; a third run adds nothing."""
     path = scratch_dir(spark, "append")
     gold = fixtures.gold(spark, sf_dir)
-    done = sampling.sample_routes(gold, SAMPLE)
-    tables.write_append_resumable(tables.filter_sample(gold, done), path)
-    tables.write_append_resumable(gold, path)
-    tables.write_append_resumable(gold, path)
-    stored = spark.read.schema(schemas.ROUTE_COMPARISON).parquet(path)
+    calls: list[int] = []
+
+    def evaluate(ids: DataFrame) -> DataFrame:
+        calls.append(1)
+        if len(calls) == 2:
+            raise InterruptedError
+        return gold.join(ids, "route_id", "left_semi")
+
+    def load() -> None:
+        tables.append_in_slices(gold.select("route_id"), evaluate, path, schemas.ROUTE_COMPARISON, slices=4)
+
+    with suppress(InterruptedError):
+        load()
+    torn = tables.read_slices(spark, path, schemas.ROUTE_COMPARISON)
+    torn.withColumns({"load": F.lit("0-4"), "slice": F.lit(1)}).write.partitionBy("load", "slice").mode("append").parquet(path)
+    load()
+    load()
+    stored = tables.read_slices(spark, path, schemas.ROUTE_COMPARISON)
     return stored.groupBy("route_id").agg(F.count("*").alias("copies"), F.max("num_stops").alias("num_stops"))
 
 

@@ -95,6 +95,9 @@ def write_append_resumable(
     df.write.format(fmt).mode("append").save(path)
 
 
+SLICES_DONE = "load STRING, slice INT, keys BIGINT, digest BIGINT"
+
+
 def append_in_slices(
     keys: DataFrame,
     evaluate: Callable[[DataFrame], DataFrame],
@@ -103,19 +106,56 @@ def append_in_slices(
     slices: int = 16,
     key: str = "route_id",
     fmt: str = "parquet",
+    load: str = "0",
 ) -> None:
-    """Evaluate the keys that the target lacks, slice by slice of their hash, each with its own commit.
+    """Evaluate the keys that the target lacks, slice by slice of their hash; each slice replaces itself as a whole.
 
-    A lost run keeps the slices before it; the next run goes on with the rest. ``evaluate`` maps a slice of
-    keys to rows of ``schema``.
+    The target is partitioned by (load, slice). A slice is written by dynamic partition overwrite, so one that a lost run
+    left half committed is replaced, never added to; then it is noted beside the target with the number and a
+    fingerprint of its keys. The next run with the same ``load`` skips the slices noted, also those whose keys gave no rows, and
+    does again those torn or with other keys than noted. Keys that other loads hold are left alone. ``evaluate`` maps a slice
+    of keys to rows of ``schema``; ``read_slices`` reads the target.
     """
     spark = keys.sparkSession
-    todo = keys.select(key).distinct()
-    for number in range(slices):
-        part = todo.where(F.pmod(F.xxhash64(key), F.lit(slices)) == number)
-        part = pending(part, read_or_empty(spark, path, schema, fmt), key)
-        if not part.isEmpty():
-            schemas.conform(evaluate(part), schema).write.format(fmt).mode("append").save(path)
+    load = f"{load}-{slices}"  # with another number of slices the same keys lie elsewhere
+    noted = f"{path}.slices"
+    cut = F.pmod(F.xxhash64(key), F.lit(slices)).cast("int").alias("slice")
+    elsewhere = _stored_slices(spark, path, schema, fmt).where(F.col("load") != load)
+    todo = pending(keys.select(key).where(F.col(key).isNotNull()).distinct(), elsewhere, key).select(key, cut)
+    todo = written(todo.repartition("slice"), "slices")
+    digest = F.sum(F.xxhash64(F.lit(1), key) % (1 << 32)).alias("digest")
+    wanted = {r["slice"]: (r["n"], r["digest"]) for r in todo.groupBy("slice").agg(F.count("*").alias("n"), digest).collect()}
+    done = read_or_empty(spark, noted, T.StructType.fromDDL(SLICES_DONE), fmt).where(F.col("load") == load)
+    last = {r["slice"]: (r["keys"], r["digest"]) for r in done.collect()}
+    for number, found in sorted(wanted.items()):
+        if last.get(number) == found:
+            continue
+        rows = schemas.conform(evaluate(todo.where(F.col("slice") == number).select(key)), schema)
+        place = {"load": F.lit(load), "slice": F.lit(number)}
+        _replace(rows.withColumns(place), path, fmt)
+        note = spark.createDataFrame([(load, number, *found)], SLICES_DONE)
+        _replace(note, noted, fmt)
+
+
+def _replace(rows: DataFrame, path: str, fmt: str) -> None:
+    """Write rows in place of whatever their (load, slice) partitions hold; other partitions stay."""
+    (
+        rows.write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load", "slice")
+        .save(path)
+    )
+
+
+def _stored_slices(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+    whole = T.StructType([*schema.fields, T.StructField("load", T.StringType()), T.StructField("slice", T.IntegerType())])
+    return read_or_empty(spark, path, whole, fmt)
+
+
+def read_slices(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """The rows that ``append_in_slices`` stored."""
+    return _stored_slices(spark, path, schema, fmt).select(*schema.names)
 
 
 def empty_gold(spark: SparkSession) -> DataFrame:
