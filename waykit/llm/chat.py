@@ -11,6 +11,7 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 TARGET, SYSTEM = "assistant", "system"
 BUDGET, HISTORY = 512, 128  # tokens of a window, and of the turns repeated before its own
 TURN_TOKENS = 4  # of the template, per turn
+START_CHUNK = 256  # window starts
 
 
 def escape(text: Column) -> Column:
@@ -70,27 +71,49 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
         "lead_tokens", F.when(first["system"], first["tokens"]).otherwise(0)
     )
     room = F.lit(budget - history) - F.col("lead_tokens")
+    # Starts are gathered in chunks, so that adding one copies a chunk and not all before it.
+    open_chunk = lambda s: F.size(s["open"]) < START_CHUNK
+    no_chunk = F.array().cast("array<array<int>>")
     cut = F.aggregate(
         "turns",
-        F.struct(F.col("lead_tokens").alias("base"), F.array(F.lit(0)).alias("starts")),
+        F.struct(F.col("lead_tokens").alias("base"), no_chunk.alias("full"), F.array(F.lit(0)).alias("open")),
         lambda s, t: F.when(
             (t["i"] > F.col("led")) & (t["tokens_upto"] - s["base"] > room),
-            F.struct((t["tokens_upto"] - t["tokens"]).alias("base"), F.concat(s["starts"], F.array(t["i"])).alias("starts")),
+            F.struct(
+                (t["tokens_upto"] - t["tokens"]).alias("base"),
+                F.when(open_chunk(s), s["full"]).otherwise(F.concat(s["full"], F.array(s["open"]))).alias("full"),
+                F.when(open_chunk(s), F.concat(s["open"], F.array(t["i"]))).otherwise(F.array(t["i"])).alias("open"),
+            ),
         ).otherwise(s),
     )
-    spans = headed.withColumn("starts", cut["starts"]).select("*", F.posexplode("starts").alias("window", "begin"))
-    end = F.coalesce(F.get(F.col("starts"), F.col("window") + 1), F.size("turns"))
+    begun = headed.withColumn("cut", cut).withColumn("starts", F.flatten(F.concat(F.col("cut.full"), F.array("cut.open"))))
     before = lambda i: F.get(F.col("turns"), i)["tokens_upto"] - F.get(F.col("turns"), i)["tokens"]
     # Every turn has TURN_TOKENS at least, which bounds the turns that can be history.
-    reach = F.sequence(F.greatest(F.col("led"), F.col("begin") - history // TURN_TOKENS), F.col("begin"))
-    back = F.get(F.filter(reach, lambda j: before(F.col("begin")) - before(j) <= history), F.lit(0))
-    cuts = spans.withColumn("end", end).withColumn("back", F.when(F.col("window") == 0, F.col("begin")).otherwise(back))
-    lead = F.when(F.col("window") > 0, F.slice("turns", F.lit(1), F.col("led"))).otherwise(F.slice("turns", F.lit(1), F.lit(0)))
-    context = F.concat(lead, F.slice("turns", F.col("back") + 1, F.col("begin") - F.col("back")))
-    parts = cuts.select(
-        "conv_id", "window", "begin", "end", context.alias("context"),
-        F.slice("turns", F.col("begin") + 1, F.col("end") - F.col("begin")).alias("own"),
-    )
+    reach = lambda b: F.sequence(F.greatest(F.col("led"), b - history // TURN_TOKENS), b)
+    back = lambda b: F.get(F.filter(reach(b), lambda j: before(b) - before(j) <= history), F.lit(0))
+    spans = begun.withColumn(
+        "spans",
+        F.transform(
+            "starts",
+            lambda b, k: F.struct(
+                k.alias("window"),
+                b.alias("begin"),
+                F.coalesce(F.get(F.col("starts"), k + 1), F.size("turns")).alias("end"),
+                F.when(k == 0, b).otherwise(back(b)).alias("back"),
+            ),
+        ),
+    )
+    taken = lambda begin, end: F.slice("turns", begin + 1, end - begin)
+    lead = lambda s: taken(F.lit(0), F.when(s["window"] > 0, F.col("led")).otherwise(0))
+    # Each window takes its own turns along; the row's whole list of turns is not repeated with every window.
+    part = lambda s: F.struct(
+        s["window"].alias("window"),
+        s["begin"].alias("begin"),
+        s["end"].alias("end"),
+        F.concat(lead(s), taken(s["back"], s["begin"])).alias("context"),
+        taken(s["begin"], s["end"]).alias("own"),
+    )
+    parts = spans.select("conv_id", F.explode_outer(F.transform("spans", part)).alias("part")).select("conv_id", "part.*")
     placed = parts.withColumn("shift", F.aggregate("context", F.lit(0).cast("bigint"), lambda s, t: s + t["chars"]))
     origin = F.get(F.col("own"), F.lit(0))["chars_upto"] - F.get(F.col("own"), F.lit(0))["chars"]
     loss = F.transform(
