@@ -24,6 +24,8 @@ def measures(docs: DataFrame) -> DataFrame:
     read = base.select(
         "doc_id",
         F.coalesce("lang", F.lit("")).alias("stratum"),
+        F.xxhash64(text).alias("p1"),
+        F.xxhash64(F.lit(1), text).alias("p2"),
         words(F.col("text")).alias("words"),
         F.filter(F.split(text, "\n"), lambda l: F.btrim(l, F.lit(WHITESPACE)) != "").alias("lines"),
         F.length(F.translate(text, WHITESPACE, "")).cast("bigint").alias("word_chars"),
@@ -48,6 +50,8 @@ def measures(docs: DataFrame) -> DataFrame:
     return ordered.select(
         "doc_id",
         "stratum",
+        "p1",
+        "p2",
         F.size("words").cast("bigint").alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -98,12 +102,13 @@ def choose_cutoffs(rows: DataFrame, labels: DataFrame, alpha: float = ALPHA, del
     """(stratum, one cutoff per rule): the lowest that is proven, null where none is.
 
     Good rows (label 1) that pass the base rules are the holdout of their stratum; nothing is fitted on them but these
-    choices. Every pair of stratum, rule and candidate is a test at ``delta`` divided by their number.
+    choices. The tail bound needs independent trials, so a text counts once in its stratum, however many rows or documents
+    repeat it (told apart by 128 bits). Every pair of stratum, rule and candidate is a test at ``delta`` divided by their number.
     """
     good = (
         pick(labels, doc_id="bigint", quality="int").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1")
     )
-    holdout = rows.where("NOT base_failed").join(good.select("doc_id"), "doc_id")
+    holdout = rows.where("NOT base_failed").join(good.select("doc_id"), "doc_id").dropDuplicates(["stratum", "p1", "p2"])
     counts = holdout.groupBy("stratum").agg(
         F.count("*").alias("n"),
         *[F.count_if(F.col(r) > c).alias(f"{r}_{k}") for r in RULES for k, c in enumerate(CUTOFFS)],
@@ -157,14 +162,14 @@ a AS (SELECT *, regexp_extract_all(t, '{_WORD}') AS w, list_filter(string_split(
 p AS (SELECT doc_id, i, w[i] AS w1, w[i+1] AS w2, w[i+2] AS w3 FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM a)),
 r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w1, w2, w3) AS c FROM p) WHERE c > 1),
 n AS (SELECT doc_id, count(DISTINCT j) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i+1, i+2]) AS j FROM r) GROUP BY doc_id),
-m AS (SELECT a.doc_id, stratum, len(w) AS n_words, length(regexp_replace(t, '{_WS}', '', 'g')) AS word_chars,
+m AS (SELECT a.doc_id, stratum, t, len(w) AS n_words, length(regexp_replace(t, '{_WS}', '', 'g')) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
     length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_capitals,
     len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
   FROM a LEFT JOIN n USING (doc_id)),
 s AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     [n_symbols / greatest(word_chars, 1), n_dup_lines / greatest(n_lines, 1), n_repeat_words / greatest(n_words, 1), n_capitals / greatest(word_chars, 1)] AS v FROM m),
-g AS (SELECT s.* FROM s JOIN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1) USING (doc_id) WHERE NOT base_failed),
+g AS (SELECT DISTINCT stratum, t, v FROM s JOIN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1) USING (doc_id) WHERE NOT base_failed),
 c AS (SELECT stratum, rule, cut, count(*) AS n, count(*) FILTER (v[rule] > cut) AS k
   FROM g, (SELECT unnest([1, 2, 3, 4]) AS rule), (SELECT unnest([{_CUTS}]) AS cut) GROUP BY ALL),
 l AS (SELECT *, {DELTA} / ({len(RULES) * len(CUTOFFS)} * (SELECT count(DISTINCT stratum) FROM c)) AS level FROM c),
