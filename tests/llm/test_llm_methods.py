@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 import random
@@ -485,3 +486,53 @@ def test_pipeline_stages_one_by_one(spark):
     assert sorted(result["doc_id"]) == sorted(after["doc_id"])
     counts = result.groupby("shard").size().reindex(range(40), fill_value=0)
     assert counts.max() - counts.min() <= 1
+
+
+def test_a_very_long_conversation_is_formatted_in_linear_memory(spark):
+    n = 30_000
+    rows = spark.range(n).select(
+        F.lit(1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("word " * 29), F.col("id").cast("string")).alias("text"),
+    )
+    got = {r["conv_id"]: r for r in chat.digest(rows).collect()}
+    said = "".join("word " * 29 + str(i) for i in range(1, n, 2))
+    assert got[1]["n_turns"] == n and got[1]["loss_chars"] == len(said)
+    assert got[1]["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+
+
+def good_texts(spark, n: int, copies: int):
+    """``n`` different good texts of one language, each under ``copies`` doc_ids, and their labels."""
+    text = F.concat(F.lit(prose(11, 70) + " "), (F.col("id") % n).cast("string"))
+    docs = spark.range(n * copies).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"))
+    return docs, docs.select("doc_id", F.lit(1).alias("quality"))
+
+
+def cutoffs(docs, labels) -> list:
+    found = rules.choose_cutoffs(rules.shares(rules.measures(docs)), labels)
+    return [list(r)[1:] for r in found.collect()]
+
+
+def test_repeats_prove_no_cutoff(spark):
+    one, labels = good_texts(spark, 1, 1)
+    for docs, marks in ((one, labels), good_texts(spark, 1, 3000), (one.crossJoin(spark.range(3000)).select("doc_id", "text", "lang"), labels)):
+        assert cutoffs(docs, marks) == [[None] * 4]
+    proven = cutoffs(*good_texts(spark, 3000, 1))
+    assert None not in proven[0] and cutoffs(*good_texts(spark, 3000, 2)) == proven
+
+
+def test_proven_cutoffs_equal_sql(spark):
+    docs, labels = good_texts(spark, 1500, 2)
+    bad = spark.range(40).select((F.col("id") + 10_000).alias("doc_id"), F.concat(F.lit(prose(12, 70)), F.lit(" # & |") , F.repeat(F.lit(" ## %%"), F.col("id").cast("int"))).alias("text"), F.lit("en").alias("lang"))
+    every = docs.union(bad)
+    got = rules.digest(every, labels)
+    assert got.where("NOT kept AND NOT base_failed").count() > 0
+    pdf = every.toPandas().astype({"text": "string", "lang": "string"})
+    equal_to_sql(got, rules.ORACLE, documents=pdf, labels=labels.toPandas())
+
+
+def test_only_marked_texts_are_moved(spark):
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text")).union(spark.createDataFrame([(None, "t")], "doc_id bigint, text string"))
+    extra = docs.where("doc_id % 10 = 3").select("doc_id", F.lit(1).alias("f1"))
+    marked = {r["doc_id"] for r in jaccard.marked_rows(docs, extra).where("marked").collect()}
+    assert {i for i in range(5000) if i % 10 == 3} | {None} <= marked and len(marked) < 800
+    assert jaccard.marked_rows(docs, extra.limit(0)).where("marked").count() == 1
