@@ -32,6 +32,19 @@ def station_routes(stops: DataFrame) -> DataFrame:
     )
 
 
+def first_station(stops: DataFrame) -> DataFrame:
+    """The stop row of each route's depot: its id and where it lies."""
+    depots = stops.where(F.col("stop_type") == schemas.STATION).groupBy("route_id")
+    return depots.agg(F.min(F.struct("stop_id", "lat", "lng")).alias("s")).select("route_id", "s.stop_id", "s.lat", "s.lng")
+
+
+def join_optional_packages(routes: DataFrame, packages: DataFrame) -> DataFrame:
+    """Packages per route; routes without any have 0."""
+    counts = packages.groupBy("route_id").agg(F.count("*").alias("packages"))
+    joined = routes.select("route_id").join(counts, "route_id", "left")
+    return joined.select("route_id", F.coalesce("packages", F.lit(0)).cast("bigint").alias("packages"))
+
+
 def skipped_routes(stops: DataFrame) -> DataFrame:
     """Routes without a depot, which cannot be solved."""
     return stops.select("route_id").distinct().join(station_routes(stops), "route_id", "left_anti")

@@ -185,10 +185,10 @@ BODIES: dict[str, str] = {
         JOIN o_stations s ON s.route_id = e.route_id
         JOIN o_ranked a ON a.route_id = e.route_id AND a.stop_id = e.from_stop_id
         JOIN o_ranked b ON b.route_id = e.route_id AND b.stop_id = e.to_stop_id GROUP BY e.route_id""",
-    "actual_route_list": """SELECT route_id, string_agg(stop_id, ',' ORDER BY pos) AS stops FROM o_actual
-        GROUP BY route_id""",
-    "stops_by_route": """SELECT route_id, CAST(count(*) AS INTEGER) AS n,
-        string_agg(stop_id, ',' ORDER BY stop_id) AS stop_ids FROM fx_stops GROUP BY route_id""",
+    "actual_route_list": """SELECT route_id, pos // 4096 AS segment, string_agg(stop_id, ',' ORDER BY pos) AS stops
+        FROM o_actual GROUP BY ALL""",
+    "stops_by_route": """SELECT route_id, CAST(k // 4096 AS BIGINT) AS segment, CAST(count(*) AS INTEGER) AS n,
+        string_agg(stop_id, ',' ORDER BY stop_id) AS stop_ids FROM o_ranked GROUP BY ALL""",
     "packages_by_stop": """SELECT s.route_id, s.stop_id, s.service_us, w.windows FROM o_service s LEFT JOIN (
           SELECT route_id, stop_id, string_agg(concat(opens_us, ':', closes_us, ':', n), ',' ORDER BY opens_us,
             closes_us) AS windows FROM (SELECT route_id, stop_id, opens_us, closes_us, count(*) AS n FROM o_windows
@@ -273,15 +273,17 @@ BODIES: dict[str, str] = {
         CAST(violations AS INTEGER) AS violations, total_us FROM (SELECT *, row_number() OVER (
           PARTITION BY route_id ORDER BY violations, total_us, i, j) AS rn FROM o_move_scores) q WHERE rn = 1""",
     # Arrays and sets
-    "unvisited_set": """SELECT f.route_id, coalesce(string_agg(f.stop_id, ',' ORDER BY f.stop_id)
-          FILTER (a.pos >= h.half), '') AS unvisited FROM fx_stops f
-        JOIN o_halves h ON h.route_id = f.route_id
-        JOIN o_actual a ON a.route_id = f.route_id AND a.stop_id = f.stop_id GROUP BY f.route_id""",
-    "reverse_segment": """SELECT a.route_id, string_agg(a.stop_id, ',' ORDER BY CASE WHEN a.pos BETWEEN 1 AND h.half
-          THEN h.half + 1 - a.pos ELSE a.pos END) AS stops
-        FROM o_actual a JOIN o_halves h ON h.route_id = a.route_id GROUP BY a.route_id""",
-    "setdefault_append": """SELECT route_id, string_agg(concat(stop_id, '=', service_us), ',' ORDER BY stop_id)
-        AS service_by_stop FROM o_service GROUP BY route_id""",
+    "unvisited_set": """SELECT route_id, (k - 1) // 4096 AS segment, string_agg(stop_id, ',' ORDER BY k) AS unvisited
+        FROM (SELECT f.route_id, f.stop_id, row_number() OVER (PARTITION BY f.route_id ORDER BY f.stop_id) AS k
+          FROM fx_stops f JOIN o_halves h ON h.route_id = f.route_id
+          JOIN o_actual a ON a.route_id = f.route_id AND a.stop_id = f.stop_id AND a.pos >= h.half) GROUP BY ALL""",
+    "reverse_segment": """SELECT route_id, p // 4096 AS segment, string_agg(stop_id, ',' ORDER BY p) AS stops
+        FROM (SELECT a.route_id, a.stop_id, CASE WHEN a.pos BETWEEN 1 AND h.half THEN h.half + 1 - a.pos
+          ELSE a.pos END AS p FROM o_actual a JOIN o_halves h ON h.route_id = a.route_id) GROUP BY ALL""",
+    "setdefault_append": """SELECT route_id, (k - 1) // 4096 AS segment,
+        string_agg(concat(stop_id, '=', service_us), ',' ORDER BY k) AS service_by_stop
+        FROM (SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY stop_id) AS k FROM o_service)
+        GROUP BY ALL""",
     "permutation_check": """SELECT f.route_id, count(*) = count(a.stop_id) AND count(*) = count(DISTINCT a.stop_id)
         AS is_permutation FROM fx_stops f LEFT JOIN o_actual a ON a.route_id = f.route_id AND a.stop_id = f.stop_id
         GROUP BY f.route_id""",

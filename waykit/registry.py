@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from waykit import fixtures, schemas
 from waykit.functions import arrays
 from waykit.functions import clock_math as cm
-from waykit.operators import clock, guardrail, packing, sampling, sequences, silver, similar, two_opt
-from waykit.operators.nearest import named_route
+from waykit.operators import clock, guardrail, packing, sampling, segments, sequences, silver, similar, two_opt
+from waykit.operators.nearest import named_route, nearest_step
 from waykit.plans import gold as gold_plans
 from waykit.plans import kpi
 from waykit.session import scratch_dir
@@ -233,12 +233,14 @@ def _listed(column: Column) -> Column:
 
 _silver_query(
     "actual_route_list",
-    lambda s: packing.actual_route_list(s.sequences).select("route_id", _listed("actual_route").alias("stops")),
+    lambda s: segments.actual_route_list(s.sequences).select(
+        "route_id", "segment", _listed(F.col("entries")["stop_id"]).alias("stops")
+    ),
 )
 _silver_query(
     "stops_by_route",
-    lambda s: packing.stops_by_route(s.stops).select(
-        "route_id", F.size("stops").alias("n"), _listed(F.col("stops")["stop_id"]).alias("stop_ids")
+    lambda s: segments.stops_by_route(s.stops).select(
+        "route_id", "segment", F.size("entries").alias("n"), _listed(F.col("entries")["stop_id"]).alias("stop_ids")
     ),
 )
 _silver_query(
@@ -321,12 +323,7 @@ _silver_query(
         clock.arrival_times(_actual(s), s.times, s.packages), s.routes
     ).select("route_id", "pos", "departure_us", "arrival_us"),
 )
-_silver_query(
-    "join_optional_packages",
-    lambda s: s.routes.select("route_id")
-    .join(s.packages.groupBy("route_id").agg(F.count("*").alias("packages")), "route_id", "left")
-    .select("route_id", F.coalesce("packages", F.lit(0)).cast("bigint").alias("packages")),
-)
+_silver_query("join_optional_packages", lambda s: packing.join_optional_packages(s.routes, s.packages))
 _silver_query("join_variants", fixtures.relational_gold)
 _gold_query("similar_cases", lambda g: similar.similar_cases(g, similar.failure_routes(g)))
 _gold_query(
@@ -375,13 +372,8 @@ _gold_query("saved_histogram", kpi.saved_histogram)
 def nn_argmin(spark, sf_dir):
     """First step of the construction: the stop nearest to the depot."""
     s = fixtures.silver(spark, sf_dir)
-    depots = packing.station_routes(s.stops).withColumnRenamed("start_stop_id", "from_stop_id")
-    options = s.travel.join(depots, ["route_id", "from_stop_id"])
-    options = options.where("to_stop_id <> from_stop_id")
-    closest = F.min(F.struct(cm.seconds_to_micros(F.col("travel_seconds")).alias("us"), "to_stop_id"))
-    return options.groupBy("route_id").agg(closest.alias("c")).select(
-        "route_id", F.col("c.to_stop_id").alias("nearest_stop_id"), F.col("c.us").alias("travel_us")
-    )
+    depots = packing.station_routes(s.stops).withColumnRenamed("start_stop_id", "stop_id")
+    return nearest_step(depots, depots, s.travel)
 
 
 # Windows
@@ -404,13 +396,7 @@ _silver_query(
     "reverse_prefix",
     lambda s: clock.reverse_prefix(_actual(s), s.times, s.packages).select("route_id", "pos", "reverse_us"),
 )
-_silver_query(
-    "first_station",
-    lambda s: s.stops.where(F.col("stop_type") == schemas.STATION)
-    .groupBy("route_id")
-    .agg(F.min(F.struct("stop_id", "lat", "lng")).alias("s"))
-    .select("route_id", "s.stop_id", "s.lat", "s.lng"),
-)
+_silver_query("first_station", lambda s: packing.first_station(s.stops))
 
 
 # Sort, limit, top-k
@@ -425,52 +411,36 @@ _silver_query("best_score", lambda s: two_opt.best_score(gold_plans.score_driven
 # Arrays and sets
 
 
-def _stop_lists(s: Silver) -> DataFrame:
-    lists = packing.stops_by_route(s.stops).select("route_id", F.col("stops")["stop_id"].alias("stop_ids"))
-    joined = lists.join(packing.actual_route_list(s.sequences), "route_id")
-    return joined.withColumn("half", F.floor(F.size("actual_route") / 2).cast("int"))
+def _to_half(s: Silver) -> DataFrame:
+    seq = _actual(s)
+    return seq.join(segments.halves(seq), "route_id")
 
 
 _silver_query(
     "unvisited_set",
-    lambda s: _stop_lists(s).select(
-        "route_id",
-        _listed(
-            arrays.unvisited(F.col("stop_ids"), F.slice("actual_route", F.lit(1), F.col("half")))
-        ).alias("unvisited"),
+    lambda s: segments.unvisited(s.stops, _to_half(s).where("pos < half").select("route_id", "stop_id")).select(
+        "route_id", "segment", _listed(F.col("entries")["stop_id"]).alias("unvisited")
     ),
 )
 _silver_query(
     "reverse_segment",
-    lambda s: _stop_lists(s).select(
-        "route_id",
-        _listed(
-            F.when(
-                F.col("half") >= 1, arrays.reverse_segment(F.col("actual_route"), F.lit(1), F.col("half"))
-            ).otherwise(F.col("actual_route"))
-        ).alias("stops"),
+    lambda s: segments.listed(segments.reversed_between(_to_half(s), F.lit(1), F.col("half"))).select(
+        "route_id", "segment", _listed(F.col("entries")["stop_id"]).alias("stops")
     ),
 )
 _silver_query(
     "setdefault_append",
-    lambda s: clock.stop_service(s.packages)
-    .groupBy("route_id")
-    .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("stop_id", "service_us")))).alias("m"))
-    .select(
+    lambda s: segments.service_by_stop(s.packages).select(
         "route_id",
+        "segment",
         _listed(
             F.transform(
-                F.sort_array(F.map_entries("m")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))
+                F.sort_array(F.map_entries("services")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))
             )
         ).alias("service_by_stop"),
     ),
 )
-_silver_query(
-    "permutation_check",
-    lambda s: _stop_lists(s).select(
-        "route_id", arrays.is_permutation(F.col("actual_route"), F.col("stop_ids")).alias("is_permutation")
-    ),
-)
+_silver_query("permutation_check", lambda s: segments.permutation_check(_actual(s), s.stops))
 
 
 # Route operators
