@@ -95,7 +95,7 @@ def write_append_resumable(
     df.write.format(fmt).mode("append").save(path)
 
 
-SLICES_DONE = "load STRING, slice INT, keys BIGINT, digest BIGINT"
+SLICES_DONE = "keys BIGINT, digest BIGINT, load STRING, slice INT"
 
 
 def append_in_slices(
@@ -120,7 +120,7 @@ def append_in_slices(
     load = f"{load}-{slices}"  # with another number of slices the same keys lie elsewhere
     noted = f"{path}.slices"
     cut = F.pmod(F.xxhash64(key), F.lit(slices)).cast("int").alias("slice")
-    elsewhere = _stored_slices(spark, path, schema, fmt).where(F.col("load") != load)
+    elsewhere = stored_slices(spark, path, schema, fmt).where(F.col("load") != load)
     todo = pending(keys.select(key).where(F.col(key).isNotNull()).distinct(), elsewhere, key).select(key, cut)
     todo = written(todo.repartition("slice"), "slices")
     digest = F.sum(F.xxhash64(F.lit(1), key) % (1 << 32)).alias("digest")
@@ -131,16 +131,15 @@ def append_in_slices(
         if last.get(number) == found:
             continue
         rows = schemas.conform(evaluate(todo.where(F.col("slice") == number).select(key)), schema)
-        place = {"load": F.lit(load), "slice": F.lit(number)}
-        _replace(rows.withColumns(place), path, fmt)
-        note = spark.createDataFrame([(load, number, *found)], SLICES_DONE)
-        _replace(note, noted, fmt)
+        replace_slice(rows, path, load, number, fmt)
+        replace_slice(spark.createDataFrame([found], "keys BIGINT, digest BIGINT"), noted, load, number, fmt)
 
 
-def _replace(rows: DataFrame, path: str, fmt: str) -> None:
-    """Write rows in place of whatever their (load, slice) partitions hold; other partitions stay."""
+def replace_slice(rows: DataFrame, path: str, load: str, number: int, fmt: str = "parquet") -> None:
+    """Write rows in place of whatever the (load, slice) partition holds; other partitions stay."""
     (
-        rows.write.format(fmt)
+        rows.withColumns({"load": F.lit(load), "slice": F.lit(number)})
+        .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("load", "slice")
@@ -148,14 +147,15 @@ def _replace(rows: DataFrame, path: str, fmt: str) -> None:
     )
 
 
-def _stored_slices(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+def stored_slices(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """The rows of a target with the load and slice that hold them."""
     whole = T.StructType([*schema.fields, T.StructField("load", T.StringType()), T.StructField("slice", T.IntegerType())])
     return read_or_empty(spark, path, whole, fmt)
 
 
 def read_slices(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """The rows that ``append_in_slices`` stored."""
-    return _stored_slices(spark, path, schema, fmt).select(*schema.names)
+    return stored_slices(spark, path, schema, fmt).select(*schema.names)
 
 
 def empty_gold(spark: SparkSession) -> DataFrame:
