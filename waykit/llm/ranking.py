@@ -116,26 +116,30 @@ class BallTree:
         self.children: list[list[int] | None] = []
         self.leaves: list[Rows | None] = []
         centroids: list[np.ndarray] = []
+        reaches: list[np.ndarray] = []
         todo = [(rows, -1, 0)]
         while todo:
             part, parent, side = todo.pop()
             node = len(centroids)
             if parent >= 0:
                 self.children[parent][side] = node
-            halves = self._grow(part, centroids)
+            halves = self._grow(part, centroids, reaches)
             self.children.append([0, 0] if halves else None)
             self.leaves.append(None if halves else part)
             if halves:
                 todo += [(half, node, k) for k, half in enumerate(halves)]
-        self.centroids = np.array(centroids)
+        self.centroids, self.reaches = np.array(centroids), np.array(reaches)
 
-    def _grow(self, part: Rows, centroids: list[np.ndarray]) -> tuple[Rows, Rows] | None:
+    def _grow(self, part: Rows, centroids: list[np.ndarray], reaches: list[np.ndarray]) -> tuple[Rows, Rows] | None:
         """Adds the ball of these rows; their two halves unless it is a leaf."""
         count = len(part.keys)
         centroid = np.bincount(part.cols, weights=part.vals, minlength=self.width).astype(np.int64) // count
         squares = np.add.reduceat(part.vals * part.vals, part.starts)
         apart = squares - 2 * part.dot(centroid) + int(centroid @ centroid)
         centroids.append(centroid.astype(np.int32))
+        reach = np.zeros(self.width, np.int32)
+        np.maximum.at(reach, part.cols, part.vals.astype(np.int32))
+        reaches.append(reach - centroids[-1])
         self.radius.append(math.isqrt(int(apart.max())) + 1)
         if count <= LEAF or int(apart.max()) == 0:
             return None
@@ -153,8 +157,13 @@ class BallTree:
         return squares - 2 * part.dot(dense) + squares[row]
 
     def bound(self, node: int, query: Query) -> int:
-        """No document of the ball scores more: by Cauchy and Schwarz, its distance from the centroid times the query's norm."""
-        return int(self.centroids[node, query.terms] @ query.weights) + query.norm * self.radius[node]
+        """No document of the ball scores more than its centroid does, plus what its distance from there can add.
+
+        By Cauchy and Schwarz that is the radius times the query's norm. The radius counts all terms, though, and a query has
+        few; term by term no document goes further above the centroid than the ball's reach in that term. The less counts.
+        """
+        middle = int(self.centroids[node, query.terms] @ query.weights)
+        return middle + min(query.norm * self.radius[node], int(self.reaches[node, query.terms] @ query.weights))
 
     def search(self, query: Query) -> int:
         """Offers the query every document that may be among its best; the number of leaves looked into."""
@@ -256,8 +265,8 @@ def rank_documents(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFra
     Texts are read once per block of items (1 MB of item text) and cut to the terms of that block; these narrow
     vectors are stored. Tasks then build ball trees of at most 8,192 vectors, one at a time, and search each
     for all items, best balls first, with what the task has found so far as the least score. A ball's bound is its
-    centroid's score plus its radius times the item's norm; centroids are whole numbers and both roots are rounded up, so
-    no document is lost. A task gives at most ``top`` rows per item, and only these are shuffled. Memory per task is
+    centroid's score plus the less of its radius times the item's norm and its reach in the item's terms; centroids are whole
+    numbers and both roots are rounded up, so no document is lost. A task gives at most ``top`` rows per item, and only these are shuffled. Memory per task is
     bounded by a batch of texts and one tree.
 
     Texts without a term, null and empty ones are no documents. Rows that repeat count and rank each; a row without
