@@ -536,3 +536,38 @@ def test_only_marked_texts_are_moved(spark):
     marked = {r["doc_id"] for r in jaccard.marked_rows(docs, extra).where("marked").collect()}
     assert {i for i in range(5000) if i % 10 == 3} | {None} <= marked and len(marked) < 800
     assert jaccard.marked_rows(docs, extra.limit(0)).where("marked").count() == 1
+
+
+@pytest.mark.parametrize("slack", [0.0, 0.25])
+def test_shards_equal_a_walk_of_every_row_round_the_ring(spark, slack):
+    """Row by row and step by step: a row that finds its shard full walks on to the next virtual node."""
+    shards, nodes, slots = 5, 3, 64
+    rows = [(i, f"text {i % 7}") for i in range(150)] + [(3, "again")] * 40 + [(None, None)] * 30
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sharding.assign_shards(docs, shards, slack, nodes, slots).toPandas()
+
+    raw = F.coalesce("text", F.lit("")).cast("binary")
+    keyed = docs.select("doc_id", F.crc32(raw).alias("c"), (F.octet_length(raw) + 16).cast("bigint").alias("size"))
+    at = F.pmod(F.xxhash64(F.lit("ring"), "doc_id", "c", "size"), F.lit(slots)).alias("at")
+    walkers = [(r["at"], (r["doc_id"] is not None, r["doc_id"] or 0, r["size"], r["c"])) for r in keyed.select("*", at).collect()]
+    ring: dict[int, list[int]] = {}
+    for s in range(shards):
+        for v in range(nodes):
+            place = int.from_bytes(hashlib.blake2b(f"{s}/{v}".encode(), digest_size=8).digest(), "big") % slots
+            ring.setdefault(place, []).append(s)
+    stations = [(place, s) for place in range(slots) for s in sorted(ring.get(place, []))]
+    room = [max(len(rows) // shards + (s < len(rows) % shards), int((1 + slack) * len(rows) / shards)) for s in range(shards)]
+    held: list[list] = [[] for _ in range(shards)]
+    standing = sorted((p, key, next((k for k, (place, _) in enumerate(stations) if place >= p), 0)) for p, key in walkers)
+    while standing:
+        on = []
+        for p, key, k in standing:
+            shard = stations[k][1]
+            if len(held[shard]) < room[shard]:
+                held[shard].append(key)
+            else:
+                on.append((p, key, (k + 1) % len(stations)))
+        standing = on
+    expected = sorted((s, slot, key) for s in range(shards) for slot, key in enumerate(held[s]))
+    mine = [(r.shard, r.slot, (not pd.isna(r.doc_id), 0 if pd.isna(r.doc_id) else int(r.doc_id), r.size_, r.text_crc32)) for r in got.rename(columns={"size": "size_"}).itertuples()]
+    assert sorted(mine) == expected
