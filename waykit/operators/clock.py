@@ -191,12 +191,6 @@ def join_arrival_windows(arrivals: DataFrame, packages: DataFrame | Loads, how:
     )
 
 
-def stop_violations(arrivals: DataFrame, packages: DataFrame | Loads) -> DataFrame:
-    """Broken packages per visited position; positions with none are left out."""
-    met = join_arrival_windows(arrivals, packages).where("broken")
-    return met.groupBy(*KEYS, "pos").agg(F.sum("packages").alias("violations"))
-
-
 def _broken_packages():
     return F.sum(F.when(F.col("broken"), F.col("packages")).otherwise(0))
 

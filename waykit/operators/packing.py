@@ -184,12 +184,6 @@ def actual_route_list(sequences: DataFrame) -> DataFrame:
     )
 
 
-def stops_by_route(stops: DataFrame) -> DataFrame:
-    return stops.groupBy("route_id").agg(
-        F.sort_array(F.collect_list(F.struct("stop_id", "stop_type"))).alias("stops")
-    )
-
-
 def pack_all(silver, cut: RouteCut | None = None) -> DataFrame:
     """Packed routes with a ``reject_reason``, null where the route can be solved."""
     cut = cut or RouteCut(silver)
