@@ -185,7 +185,7 @@ class StoredOnUse:
     @property
     def blocks(self) -> TravelBlocks:
         """The travel table as bucketed matrix blocks."""
-        root = _once(self._spark, self._sf_dir, "travel-blocks", lambda path: write_blocks(self._derived.travel, path), "layout")
+        root = _once(self._spark, self._sf_dir, "travel-blocks", lambda path: write_blocks(self.travel, path), "layout")
         return load_blocks(self._spark, root)
 
     @property
