@@ -24,6 +24,6 @@ def test_query_equals_its_sql(spark, con, name):
 
 def test_one_query_per_operator_and_the_pipeline():
     names = list(contract.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
