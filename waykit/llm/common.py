@@ -29,10 +29,13 @@ def pick(df: DataFrame, **types: str) -> DataFrame:
     return plain.select(*[found(n, k) for n, k in types.items()])
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared scratch folder and read again: lineage ends there."""
+def stored(df: DataFrame, name: str, row_group: int | None = None) -> DataFrame:
+    """``df`` written once as Parquet in the shared scratch folder and read again: lineage ends there.
+
+    A task holds one row group in memory while it writes; ``row_group`` is its size in bytes, if not the usual one.
+    """
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**({"parquet.block.size": row_group} if row_group else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

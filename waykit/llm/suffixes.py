@@ -23,7 +23,8 @@ COLLECTION_BYTES = 256 << 10
 PART_BYTES = 2 << 20  # strings a task holds
 HEAVY = 20_000  # occurrences of an anchor beyond which its windows are counted one by one
 _LOW = np.uint64((1 << 24) - 1)
-_REACH = 1 << 23  # bytes of a text looked at together, so positions fit 24 bits
+_REACH = 1 << 20  # bytes of a text looked at together; positions must fit 24 bits
+_PIECE = 1 << 18  # bytes of short texts looked at together: two workers share an executor's memory with its JVM
 
 
 # --- windows by anchor ---------------------------------------------------------------------------
@@ -72,7 +73,7 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]
 
 def text_runs(column: pa.Array) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
     """(first row, runs) of pieces of a column; texts beyond ``_REACH`` bytes are cut with overlap."""
-    for first, _, data, offsets in tv.text_chunks(column):
+    for first, _, data, offsets in tv.text_chunks(column, _PIECE):
         if len(data) <= _REACH:
             yield first, anchor_runs(data, offsets)
             continue
@@ -82,12 +83,6 @@ def text_runs(column: pa.Array) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
             yield first, (text, start + at, *rest)
 
 
-def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, (_, _, _, anchor, _, content) in text_runs(batch.column(0)):
-            yield pa.record_batch([anchor.view(np.int64), content.view(np.int64)], ["anchor", "content"])
-
-
 def all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, prints = batch.column(0), batch.column(1)
@@ -381,18 +376,18 @@ def _same_row(a: DataFrame, b: DataFrame) -> Column:
 
 def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Compressed texts that hold repeats, and the byte spans (begin, end) to remove from each."""
-    counted = texts.select("text").mapInArrow(anchors, "anchor bigint, content bigint")
+    runs = texts.select("doc_id", "print", "text").mapInArrow(
+        all_runs, "doc_id bigint, print bigint, start bigint, windows int, anchor bigint, at int, content bigint"
+    )
+    runs = stored(runs, "all-runs", row_group=32 << 20)
     shared = (
-        counted.groupBy("anchor")
+        runs.groupBy("anchor")
         .agg(F.count("*").alias("n"), F.min("content").alias("one"), F.max("content").alias("other"))
         .where("n > 1")
         .select("anchor", (F.col("one") != F.col("other")).alias("contested"), (F.col("n") > HEAVY).alias("heavy"))
     )
     # Written down, so that Spark sees both sides of the join as they are and splits what is skewed.
     shared = stored(shared, "repeat-anchors")
-    runs = texts.select("doc_id", "print", "text").mapInArrow(
-        all_runs, "doc_id bigint, print bigint, start bigint, windows int, anchor bigint, at int, content bigint"
-    )
     runs = stored(runs.join(shared, "anchor"), "repeat-runs")
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print", "start"))
     contents = (
@@ -445,7 +440,7 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     Every byte goes that is covered by a 200-byte string which also starts anywhere else, in the same document or
     another; all are judged on the input.
 
-    1. Windows are grouped by anchor. Anchors that occur once hold no repeat and are dropped after one count.
+    1. Windows are grouped by anchor and written down once. Anchors that occur once hold no repeat and are dropped after a count.
     2. Runs of windows with equal content are combined. An anchor with one content repeats as it stands.
     3. The other contents are sorted in collections, column by column (``sort_collection``), in tasks of bounded size;
        neighbours with a common prefix of 200 bytes are repeats. An anchor with more than ``HEAVY`` occurrences would be too
