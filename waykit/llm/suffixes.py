@@ -21,6 +21,7 @@ GRAM = 50  # bytes of an anchor
 CLASS = 16  # consecutive windows that one collection string covers
 COLLECTION_BYTES = 256 << 10
 PART_BYTES = 2 << 20  # strings a task holds
+SPANS = "array<struct<first: int, last: int>>"
 HEAVY = 20_000  # occurrences of an anchor beyond which its windows are counted one by one
 _LOW = np.uint64((1 << 24) - 1)
 _REACH = 1 << 20  # bytes of a text looked at together; positions must fit 24 bits
@@ -191,24 +192,29 @@ def sort_collection(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, f
     return (who // stride).astype(np.int64), (who % stride).astype(np.int64), lcp
 
 
-def repeated_windows(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, copies: np.ndarray) -> list[np.ndarray]:
-    """Per string: which of its windows occur at least twice in the collection, copies counted."""
+def repeated_windows(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, copies: np.ndarray) -> np.ndarray:
+    """Which windows occur at least twice in the collection, copies counted, string after string."""
     with tempfile.TemporaryDirectory() as folder:
         string, length, lcp = sort_collection(data, starts, lengths, folder)
     group = np.cumsum(lcp < LENGTH)
     full = length >= LENGTH
     string, length, group = string[full], length[full], group[full]
-    twice = np.bincount(group, weights=copies[string])[group] > 1
     first = np.r_[0, np.cumsum(lengths - LENGTH + 1)]
     flags = np.zeros(first[-1], bool)
-    flags[first[string] + lengths[string] - length] = twice
-    return [flags[first[i] : first[i + 1]] for i in range(len(starts))]
+    flags[first[string] + lengths[string] - length] = np.bincount(group, weights=copies[string])[group] > 1
+    return flags
 
 
-def stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last index of every maximal run of true."""
-    steps = np.diff(np.r_[0, flags.astype(np.int8), 0])
-    return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1) - 1
+def stretches(flags: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, run) of every maximal stretch of true inside each run; ``offsets`` says where runs begin in ``flags``."""
+    run = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    true = np.flatnonzero(flags)
+    if not len(true):
+        return (np.zeros(0, np.int64),) * 3
+    fresh = np.r_[True, (np.diff(true) > 1) | (run[true[1:]] != run[true[:-1]])]
+    heads = np.flatnonzero(fresh)
+    first, last = true[heads], true[np.r_[heads[1:] - 1, len(true) - 1]]
+    return first - offsets[run[first]], last - offsets[run[last]], run[first]
 
 
 def judge(anchor: np.ndarray, copies: np.ndarray, at: np.ndarray, windows: np.ndarray, blocks: list[bytes]) -> list[np.ndarray]:
@@ -236,40 +242,48 @@ def judge(anchor: np.ndarray, copies: np.ndarray, at: np.ndarray, windows: np.nd
     heads = np.flatnonzero(new_body)
     group = np.cumsum(new_core)[heads]
     alone = np.bincount(group)[group] == 1
-    flags: list[np.ndarray | None] = [None] * len(heads)
     size = (last - first + LENGTH)[order][heads]
-    for k in np.flatnonzero(alone).tolist():
-        flags[k] = np.full(size[k] - LENGTH + 1, total[k] > 1)
-    waiting, held = [], 0
+    held_at = np.r_[0, np.cumsum(size - LENGTH + 1)]
+    flags = np.repeat(alone & (total > 1), size - LENGTH + 1)
     contested = np.flatnonzero(~alone)
-    for i, k in enumerate(contested.tolist()):
-        waiting.append(k)
-        held += int(size[k])
-        if i + 1 == len(contested) or (held >= COLLECTION_BYTES and group[contested[i + 1]] != group[k]):
-            w = np.array(waiting)
-            where = (begin[run] + first)[order][heads[w]]
-            part = np.concatenate([data[a : a + n] for a, n in zip(where, size[w], strict=True)])
-            for one, found in zip(w.tolist(), repeated_windows(part, np.r_[0, np.cumsum(size[w])][:-1], size[w], total[w]), strict=True):
-                flags[one] = found
-            waiting, held = [], 0
-    out = [np.zeros(n, bool) for n in windows]
-    for o, k in zip(order.tolist(), kind.tolist(), strict=True):
-        out[run[o]][first[o] : last[o] + 1] = flags[k]
-    return out
+    where = (begin[run] + first)[order][heads]
+    for w in collections(group[contested], size[contested]):
+        k = contested[w]
+        part = np.concatenate([data[a : a + n] for a, n in zip(where[k], size[k], strict=True)])
+        settled = repeated_windows(part, np.r_[0, np.cumsum(size[k])][:-1], size[k], total[k])
+        flags[np.repeat(held_at[k] - np.r_[0, np.cumsum(size[k] - LENGTH + 1)][:-1], size[k] - LENGTH + 1) + np.arange(len(settled))] = settled
+    offsets = np.r_[0, np.cumsum(windows)]
+    n = (last - first + 1)[order]
+    inner = np.arange(n.sum()) - np.repeat(np.r_[0, np.cumsum(n)][:-1], n)
+    out = np.zeros(offsets[-1], bool)
+    out[np.repeat((offsets[:-1][run] + first)[order], n) + inner] = flags[np.repeat(held_at[:-1][kind], n) + inner]
+    return np.split(out, offsets[1:-1])
+
+
+def collections(group: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+    """Strings, in order of their group, as collections of whole groups; each ends with the group that fills it."""
+    waiting, held = 0, 0
+    for end in [*(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]:
+        held = int(size[waiting:end].sum())
+        if held and (held >= COLLECTION_BYTES or end == len(group)):
+            yield np.arange(waiting, end)
+            waiting = end
 
 
 def judge_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(anchor, content, first, last): repeated windows of every run content, anchor by anchor."""
+    """(anchor, content, spans): stretches (first, last) of repeated windows of every run content, anchor by anchor."""
 
     def settle(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows)
         num = lambda c: t.column(c).to_numpy().astype(np.int64)
         anchor, content = num("anchor"), num("content")
         found = judge(anchor.view(np.uint64), num("copies"), num("at"), num("windows"), t.column("block").to_pylist())
-        spans = [stretches(f) for f in found]
-        row = np.repeat(np.arange(len(spans)), [len(a) for a, _ in spans])
-        first, last = (np.concatenate([s[k] for s in spans]).astype(np.int32) for k in (0, 1))
-        return pa.record_batch([anchor[row], content[row], first, last], ["anchor", "content", "first", "last"])
+        first, last, run = stretches(np.concatenate(found), np.r_[0, np.cumsum(num("windows"))])
+        counts = np.bincount(run, minlength=len(anchor))
+        spans = pa.StructArray.from_arrays([pa.array(first, pa.int32()), pa.array(last, pa.int32())], ["first", "last"])
+        spans = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), spans)
+        made = pa.record_batch([pa.array(anchor), pa.array(content), spans], ["anchor", "content", "spans"])
+        return made.filter(pa.array(counts > 0))
 
     held: list[pa.RecordBatch] = []
     size = 0
@@ -374,8 +388,16 @@ def _same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["print"] == b["print"])
 
 
+def merged(windows: Column) -> Column:
+    """Stretches of consecutive numbers of a sorted array."""
+    at = lambda i: F.get(windows, i)
+    first = F.filter(windows, lambda w, i: (i == 0) | (at(i - 1) < w - 1))
+    last = F.filter(windows, lambda w, i: (i == F.size(windows) - 1) | (at(i + 1) > w + 1))
+    return F.arrays_zip(first.alias("first"), last.alias("last"))
+
+
 def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Compressed texts that hold repeats, and the byte spans (begin, end) to remove from each."""
+    """Compressed texts that hold repeats, and lists of the byte spans (begin, end) to remove from each."""
     runs = texts.select("doc_id", "print", "text").mapInArrow(
         all_runs, "doc_id bigint, print bigint, start bigint, windows int, anchor bigint, at int, content bigint"
     )
@@ -413,22 +435,21 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = (
         blocks.repartition(parts, "anchor")
         .sortWithinPartitions("anchor")
-        .mapInArrow(judge_partition, "anchor bigint, content bigint, first int, last int")
+        .mapInArrow(judge_partition, f"anchor bigint, content bigint, spans {SPANS}")
     )
     if total[1]:
         each = plain.mapInArrow(cut_blocks(True), "anchor bigint, content bigint, copies bigint, w int, h1 bigint, h2 bigint")
         twice = each.groupBy("h1", "h2").agg(F.sum("copies").alias("n")).where("n > 1").select("h1", "h2")
         found = found.unionByName(
-            each.join(twice, ["h1", "h2"]).select("anchor", "content", F.col("w").alias("first"), F.col("w").alias("last"))
+            each.join(twice, ["h1", "h2"]).groupBy("anchor", "content").agg(merged(F.sort_array(F.collect_set("w"))).cast(SPANS).alias("spans"))
         )
-    span = lambda a, b: (
-        (F.col("start") + a).alias("begin"), (F.col("start") + b + LENGTH).alias("end"),
-    )
+    # One row per run content, so that the join makes one row per run.
+    span = lambda a, b: F.struct((F.col("start") + a).alias("begin"), (F.col("start") + b + LENGTH).alias("end"))
     spans = (
         runs.where("contested")
         .join(stored(found, "repeat-windows"), ["anchor", "content"])
-        .select("doc_id", "print", *span(F.col("first"), F.col("last")))
-        .unionByName(runs.where("NOT contested").select("doc_id", "print", *span(F.lit(0), F.col("windows") - 1)))
+        .select("doc_id", "print", F.transform("spans", lambda s: span(s["first"], s["last"])).alias("spans"))
+        .unionByName(runs.where("NOT contested").select("doc_id", "print", F.array(span(F.lit(0), F.col("windows") - 1)).alias("spans")))
     )
     return held.select("doc_id", "print", "packed"), spans
 
@@ -445,7 +466,8 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     3. The other contents are sorted in collections, column by column (``sort_collection``), in tasks of bounded size;
        neighbours with a common prefix of 200 bytes are repeats. An anchor with more than ``HEAVY`` occurrences would be too
        large for a task: its windows are counted one by one, by 128-bit hashes.
-    4. Spans are gathered per document and cut out of its text. Texts travel compressed, and only those with repeats twice.
+    4. A content's repeats are merged to stretches, one row per content, before its runs meet them.
+    5. Spans are gathered per document and cut out of its text. Texts travel compressed, and only those with repeats twice.
 
     Null and empty text has no bytes. Rows that repeat a doc_id are documents of their own; equal rows too. Null doc_id
     is allowed. Other columns are ignored.
@@ -453,7 +475,7 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     base = pick(docs, doc_id="bigint", text="string").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = base.select("doc_id", F.xxhash64("text").alias("print"), "text")
     held, spans = repeated_spans(texts)
-    marks = spans.groupBy("doc_id", "print").agg(F.collect_set(F.struct("begin", "end")).alias("marks"))
+    marks = spans.groupBy("doc_id", "print").agg(F.flatten(F.collect_set("spans")).alias("marks"))
     once = held.dropDuplicates(["doc_id", "print"])
     cut = once.join(marks, _same_row(once, marks)).select(once["doc_id"], once["print"], "packed", "marks")
     results = cut.mapInArrow(
