@@ -111,34 +111,31 @@ def range_minima(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.nd
 
 
 class Columns:
-    """The sorted suffixes of a collection, as sequential files that every round reads and writes anew.
+    """The sorted suffixes of a collection, as a sequential file that every round reads and writes anew.
 
-    Per suffix: the symbol before it (the transform; 0 at a string's start), the common prefix with the suffix before it
-    (up to 250), and its number (string * stride + length).
+    Per suffix eight bytes: the common prefix with the suffix before it (up to 250), the symbol before it (the
+    transform; 0 at a string's start), and its number (string * stride + length).
     """
 
-    KINDS = {"bwt": np.uint8, "lcp": np.uint8, "who": np.uint32}
-
     def __init__(self, folder: str) -> None:
-        self.files = {name: open(f"{folder}/{name}", "w+b", buffering=0) for name in self.KINDS}  # noqa: SIM115
+        self.file = open(f"{folder}/columns", "w+b", buffering=0)  # noqa: SIM115
         self.count = 0
 
-    def write(self, **columns: np.ndarray) -> None:
-        for name, values in columns.items():
-            os.pwrite(self.files[name].fileno(), np.ascontiguousarray(values, self.KINDS[name]), 0)
-            self.count = len(values)
+    def write(self, rows: np.ndarray) -> None:
+        os.pwrite(self.file.fileno(), rows, 0)
+        self.count = len(rows)
 
-    def read(self) -> list[np.ndarray]:
-        out = []
-        for name, kind in self.KINDS.items():
-            values = np.empty(self.count, kind)
-            os.preadv(self.files[name].fileno(), [values.view(np.uint8)], 0)
-            out.append(values)
-        return out
+    def read(self) -> np.ndarray:
+        rows = np.empty(self.count, np.uint64)
+        os.preadv(self.file.fileno(), [rows.view(np.uint8)], 0)
+        return rows
 
     def close(self) -> None:
-        for f in self.files.values():
-            f.close()
+        self.file.close()
+
+
+def packed_rows(who: np.ndarray, bwt: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    return who.astype(np.uint64) << np.uint64(16) | bwt.astype(np.uint64) << np.uint64(8) | lcp.astype(np.uint64)
 
 
 def sort_collection(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, folder: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,36 +157,38 @@ def sort_collection(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, f
     common = np.zeros(len(starts), np.uint8)
     common[1:] = last[order][1:] == last[order][:-1]
     files = Columns(folder)
-    files.write(bwt=symbol(order, 2), lcp=common, who=order * stride + 1)
+    files.write(packed_rows(order * stride + 1, symbol(order, 2), common))
     for j in range(2, stride):
-        bwt, lcp, who = files.read()
+        rows = files.read()
+        lcp, bwt = np.ascontiguousarray(rows.view(np.uint8).reshape(-1, 8)[:, :2].T)
         new = np.flatnonzero(lengths >= j)
         at = place[new]
         c = bwt[at]
         by_symbol = np.argsort(bwt, kind="stable")
-        rank = np.empty(len(bwt), np.int64)
-        rank[by_symbol] = np.arange(len(bwt))
-        finished = int(np.count_nonzero(bwt == 0))
-        target = lambda e: rank[e] - finished + singles[bwt[e]]  # noqa: B023, E731
-        goes = target(at)
-        before = by_symbol[np.maximum(rank[at] - 1, 0)]
-        has = (rank[at] > 0) & (bwt[before] == c)
+        newest = np.zeros(len(rows), bool)
+        newest[at] = True
+        rank = np.empty(len(new), np.int64)
+        rank[np.lexsort((at, c))] = np.flatnonzero(newest[by_symbol])
+        goes = rank - np.count_nonzero(bwt == 0) + singles[c]
+        before = by_symbol[np.maximum(rank - 1, 0)]
+        has = (rank > 0) & (bwt[before] == c)
         fresh = (singles[c] > singles[c.astype(np.int64) - 1]).astype(np.int64)  # after a string's single last symbol
         fresh[has] = np.minimum(range_minima(lcp, before[has] + 1, at[has]).astype(np.int64) + 1, 250)
-        after = by_symbol[np.minimum(rank[at] + 1, len(bwt) - 1)]
-        has = (rank[at] + 1 < len(bwt)) & (bwt[after] == c)
-        follows, less = target(after[has]), np.minimum(range_minima(lcp, at[has] + 1, after[has]).astype(np.int64) + 1, 250)
-        old = np.ones(len(bwt) + len(new), bool)
+        after = by_symbol[np.minimum(rank + 1, len(rows) - 1)]
+        has = (rank + 1 < len(rows)) & (bwt[after] == c)
+        less = np.minimum(range_minima(lcp, at[has] + 1, after[has]).astype(np.int64) + 1, 250)
+        old = np.ones(len(rows) + len(new), bool)
         old[goes] = False
-        bwt2, lcp2, who2 = (np.empty(len(old), k) for k in Columns.KINDS.values())
-        bwt2[old], lcp2[old], who2[old] = bwt, lcp, who
-        bwt2[goes], lcp2[goes], who2[goes] = symbol(new, j + 1), fresh, new * stride + j
-        lcp2[follows] = less
+        merged_rows = np.empty(len(old), np.uint64)
+        merged_rows[old] = rows
+        merged_rows[goes] = packed_rows(new * stride + j, symbol(new, j + 1), fresh)
+        merged_rows.view(np.uint8).reshape(-1, 8)[goes[has] + 1, 0] = less  # the next suffix with the symbol follows
         place[new] = goes
-        files.write(bwt=bwt2, lcp=lcp2, who=who2)
-    _, lcp, who = files.read()
+        files.write(merged_rows)
+    rows = files.read()
     files.close()
-    return (who // stride).astype(np.int64), (who % stride).astype(np.int64), lcp
+    who = (rows >> np.uint64(16)).astype(np.int64)
+    return who // stride, who % stride, (rows & np.uint64(255)).astype(np.uint8)
 
 
 def repeated_windows(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, copies: np.ndarray) -> np.ndarray:
