@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import itertools
 import math
@@ -445,6 +446,43 @@ def test_arc_records_by_declared_length(version):
     assert list(arc.parse_arc(b"")) == []
 
 
+def legacy(date: str = "19980101000000") -> bytes:
+    """An archive with an image, a latin-1 page under a latin-1 URL, and bytes that are not HTTP."""
+    about = f"1 0 test\n{arc.FIELDS[1]}\n".encode()
+    image = b"HTTP/1.0 200 OK\r\nContent-Type: image/gif\r\n\r\nGIF89a\xff\xfe\r\n\r\n\x00\x80"
+    page = b"HTTP/1.0 200 OK\r\nX-Name: caf\xe9\r\n\r\n<p>caf\xe9</p>"
+    rows = [
+        (b"filedesc://x.arc 0.0.0.0 19980101 text/plain %d", about), (b"http://a/i.gif 1.2.3.4 1998 image/gif %d", image),
+        (b"http://a/caf\xe9 page 1.2.3.4 " + date.encode() + b" text/html %d", page), (b"dns:a 1.2.3.4 199801 text/dns %d", b"\xc3\x28"),
+        (b"http://b/i.gif 1.2.3.4 1999 image/gif %d", image),
+    ]
+    return b"\n".join(head % len(block) + b"\n" + block for head, block in rows)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bytes])
+def test_archives_keep_bytes_that_are_not_text(spark, tmp_path, pack):
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "x.arc").write_bytes(pack(legacy()))
+    arc.convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    got = {x["url"]: x for x in arc.read_warc(spark, str(tmp_path / "warc")).collect()}
+    want = {"http://a/i.gif": b"GIF89a\xff\xfe\r\n\r\n\x00\x80", "http://a/caf%E9 page": b"<p>caf\xe9</p>", "dns:a": b"\xc3\x28"}
+    want["http://b/i.gif"] = want["http://a/i.gif"]
+    assert {u: (x["payload_digest"], x["date"][:4]) for u, x in got.items()} == {
+        u: (arc.sha1_base32(b), "1999" if u.startswith("http://b") else "1998") for u, b in want.items()
+    }
+    assert sorted(x["record_type"] for x in got.values()) == ["resource", "response", "response", "revisit"]
+    stored = b"".join(gzip.decompress(f.read_bytes()) for f in (tmp_path / "warc").glob("*.gz"))
+    assert all(stored.count(b) == 1 for b in set(want.values()))
+
+
+@pytest.mark.parametrize("date", ["-", "19981301000000", "19980230", "199", "199801010000001"])
+def test_ill_dated_records_raise_with_their_offset(date):
+    data = legacy(date)
+    batch = pa.record_batch([pa.array(["dir/x.arc"]), pa.array([data])], ["path", "content"])
+    with pytest.raises(ValueError, match=f"byte {data.index(b'http://a/caf')} of x.arc"):
+        list(arc.arc_records(False)([batch]))
+
+
 def test_arc_dates_and_digests():
     assert arc.warc_date("19970102030405") == "1997-01-02T03:04:05Z" and arc.warc_date("1997") == "1997-01-01T00:00:00Z"
     assert arc.sha1_base32(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"

@@ -1,6 +1,6 @@
 """Legacy archive converter: ARC files to WARC files, and both read back.
 
-Archives are gzipped text files that Spark writes, so payloads are UTF-8; each holds about ``ARCHIVE_BYTES``.
+Archives are gzipped files that Spark writes, byte for byte, whatever payloads are; each holds about ``ARCHIVE_BYTES``.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator
+from datetime import datetime
 from itertools import count
 
 import pyarrow as pa
@@ -56,8 +57,8 @@ def http_response(page_id: int | None, payload: bytes) -> bytes:
     return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{number}Content-Length: {len(payload)}\r\n\r\n".encode() + payload
 
 
-def _texts(values: list[bytes]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(values, pa.large_binary()).cast(pa.large_string()).cast(pa.string())], ["value"])
+def _files(values: list[bytes]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(values, pa.binary())], ["value"])
 
 
 def pack_arc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,21 +76,24 @@ def pack_arc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts.append(arc_record(version, plain_url(url), "text/html", block, name, size))
             size += len(parts[-1]) + 1
             if size >= ARCHIVE_BYTES:
-                yield _texts([b"\n".join(parts)])
+                yield _files([b"\n".join(parts)])
                 parts = []
     if parts:
-        yield _texts([b"\n".join(parts)])
+        yield _files([b"\n".join(parts)])
 
 
 def write_archives(rows: DataFrame, path: str, separator: str) -> None:
-    """Every row as one gzipped file, its records followed by ``separator``; packed at a faster level than the default."""
-    writer = rows.write.option("maxRecordsPerFile", 1).option("compression", "gzip").option("lineSep", separator)
+    """Every binary row as one gzipped file, its records followed by ``separator``; packed at a faster level than the default.
+
+    The text sink writes a string's bytes as they are, and the cast does not look at them.
+    """
+    writer = rows.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1).option("compression", "gzip").option("lineSep", separator)
     writer.option("zlib.compress.level", GZIP_LEVEL).text(path)
 
 
 def write_arc(pages: DataFrame, path: str) -> None:
     rows = pick(pages, page_id="bigint", url="string", html="string")
-    write_archives(rows.mapInArrow(pack_arc, "value string"), path, "\n")
+    write_archives(rows.mapInArrow(pack_arc, "value binary"), path, "\n")
 
 
 # --- reading ARC ---------------------------------------------------------------------------------
@@ -147,11 +151,24 @@ def whole_number(text: str | None) -> int | None:
 
 
 def warc_date(arc_date: str) -> str:
-    """ARC dates have up to 14 digits; missing ones are the start of their span."""
+    """ARC dates have 4 to 14 digits; missing ones are the start of their span. Anything else raises ValueError."""
     d = arc_date + "00000101000000"[len(arc_date) :]
+    if not re.fullmatch(r"[0-9]{4,14}", arc_date):
+        raise ValueError(f"no date: {arc_date!r}")
+    datetime.strptime(d, "%Y%m%d%H%M%S")
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
+def escaped(text: str) -> str:
+    """Bytes of a header line that were not UTF-8, as percent escapes."""
+    return re.sub("[\udc80-\udcff]", lambda m: f"%{ord(m[0]) - 0xDC00:02X}", text)
+
+
+def unpacked(content: bytes) -> bytes:
+    """An archive's bytes; legacy files have one gzip member, one per record, or none."""
+    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+
+
 def record_id(archive: str, offset: int, url: str) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha1(f'{archive} {offset} {url}'.encode('utf-8', 'surrogateescape')).digest()[:16], version=5)}>"
 
@@ -173,12 +190,16 @@ def arc_records(with_content: bool):
             for path, content in zip(batch.column(0), batch.column(1), strict=True):
                 name = path.as_py().rpartition("/")[2]
                 rows = []
-                for offset, header, block in parse_arc(gzip.decompress(content.as_py())):
+                for offset, header, block in parse_arc(unpacked(content.as_py())):
                     http = header["URL"].lower().startswith(("http:", "https:")) or block.startswith(b"HTTP/")
                     head, body = split_http(block) if http else (b"", block)
+                    try:
+                        date = warc_date(header["Archive-date"])
+                    except ValueError as e:
+                        raise ValueError(f"ARC record at byte {offset} of {name}: {e}") from e
                     row = (
-                        record_id(name, offset, header["URL"]), header["URL"], warc_date(header["Archive-date"]),
-                        "application/http; msgtype=response" if http else header["Content-type"],
+                        record_id(name, offset, header["URL"]), escaped(header["URL"]), date,
+                        "application/http; msgtype=response" if http else escaped(header["Content-type"]),
                         whole_number(head_value(head, PAGE_HEADER)), sha1_base32(body), len(body),
                     )
                     rows.append(row + ((head, body) if with_content else ()))
@@ -229,10 +250,10 @@ def pack_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts.append(warc_record(row))
             size += len(parts[-1])
             if size >= ARCHIVE_BYTES:
-                yield _texts([b"\r\n\r\n".join(parts)])
+                yield _files([b"\r\n\r\n".join(parts)])
                 parts, size = [], 0
     if parts:
-        yield _texts([b"\r\n\r\n".join(parts)])
+        yield _files([b"\r\n\r\n".join(parts)])
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -266,7 +287,7 @@ def warc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column(1):
             rows = []
-            for h, block in parse_warc(gzip.decompress(content.as_py())):
+            for h, block in parse_warc(unpacked(content.as_py())):
                 if h["WARC-Type"] == "warcinfo":
                     continue
                 head, body = split_http(block) if h["Content-Type"].startswith("application/http") else (b"", block)
@@ -287,7 +308,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, dedup_bytes: int
     Of records with equal payloads of at least ``dedup_bytes`` bytes the one with the smallest page number (none
     last; then the smallest identifier) is kept, others become revisits of it. Archives are parsed twice: first for digests
     alone, which are combined before the shuffle, then with their content, which is joined to the shared digests.
-    Spark splits that join where one payload is very common.
+    Spark splits that join where one payload is very common. Payloads may be any bytes; bytes of a URL that are not
+    UTF-8 become percent escapes. A header line, length or date that cannot be read raises an error with the byte offset.
     """
     archives = read_files(spark, arc_path)
     first = F.min(F.struct(F.col("page_id").isNull().alias("no_page"), "page_id", "record_id", "url", "date")).alias("k")
@@ -300,7 +322,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, dedup_bytes: int
         .select("digest", "length", *[F.col(f"k.{c}").alias(f"keeper_{n}") for c, n in (("record_id", "id"), ("url", "url"), ("date", "date"))])
     )
     records = archives.mapInArrow(arc_records(True), RECORD_COLUMNS + ", head binary, body binary")
-    write_archives(records.join(same, ["digest", "length"], "left").mapInArrow(pack_warc, "value string"), warc_path, "\r\n\r\n")
+    write_archives(records.join(same, ["digest", "length"], "left").mapInArrow(pack_warc, "value binary"), warc_path, "\r\n\r\n")
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
