@@ -88,6 +88,30 @@ def test_a_large_file_is_cut_into_splits_without_loss(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize("indent", [None, 1])
+def test_travel_records_are_cut_inside_a_route(spark, tmp_path, indent):
+    """Routes far larger than a split, one without departures and one broken departure stop."""
+    stops = [f"S{i}" for i in range(60)]
+    docs = {f"RouteID_{r}": {a: {b: i + r / 10 for i, b in enumerate(stops)} for a in stops[: 50 * r]} for r in range(3)}
+    text = json.dumps(docs, indent=indent)
+    at = text.index('"S7"', text.index("RouteID_2"))  # among the times from S0
+    path = tmp_path / "travel_times.json"
+    path.write_text(text[:at] + "oops" + text[at:])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        read = keyed_json.read_travel_fragments(spark, str(path))
+        assert read.rdd.getNumPartitions() > 10
+        rows = read.collect()
+        edges = silver.fact_travel_times(read).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.route_id for r in rows if r.malformed] == ["RouteID_2"]
+    got = {(r.route_id, a): dict(m) for r in rows if not r.malformed for a, m in r.doc.items()}
+    want = {(r, a): m for r, d in docs.items() for a, m in d.items() if (r, a) != ("RouteID_2", "S0")}
+    assert got == want and len(rows) == len(want) + 1
+    assert len(edges) == sum(len(m) for m in want.values())
+
+
 def test_malformed_documents_are_flagged(spark, tmp_path):
     path = tmp_path / "actual_sequences.json"
     path.write_text('{"RouteID_1": {"actual": {"A": 0}}, "RouteID_2": {"actual": {"A": ')

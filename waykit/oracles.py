@@ -156,6 +156,8 @@ BODIES: dict[str, str] = {
         FROM fx_sequences GROUP BY route_id""",
     "read_travel_json": """SELECT route_id, count(DISTINCT from_stop_id) AS departures, count(*) AS entries,
         CAST(sum(travel_us) AS BIGINT) AS travel_us FROM o_edges GROUP BY route_id""",
+    "read_travel_fragments": """SELECT route_id, count(DISTINCT from_stop_id) AS departures, count(*) AS entries,
+        CAST(sum(travel_us) AS BIGINT) AS travel_us FROM o_edges GROUP BY route_id""",
     "read_bronze": """SELECT 'routes' AS file, count(DISTINCT route_id) AS routes, CAST(0 AS BIGINT) AS malformed
         FROM fx_routes UNION ALL SELECT 'packages', count(DISTINCT route_id), 0 FROM fx_packages
         UNION ALL SELECT 'sequences', count(DISTINCT route_id), 0 FROM fx_sequences

@@ -82,9 +82,7 @@ def read_sequence_json(spark, sf_dir):
     )
 
 
-@query
-def read_travel_json(spark, sf_dir):
-    docs = _bronze(spark, sf_dir, 3, keyed_json.read_travel_json)
+def _travel_per_route(docs):
     rows = docs.select("route_id", F.explode("doc").alias("from_stop_id", "targets"))
     seconds = F.aggregate(
         F.map_values("targets"), F.lit(0).cast("bigint"), lambda a, x: a + cm.seconds_to_micros(x)
@@ -96,6 +94,16 @@ def read_travel_json(spark, sf_dir):
     )
 
 
+@query
+def read_travel_json(spark, sf_dir):
+    return _travel_per_route(_bronze(spark, sf_dir, 3, keyed_json.read_travel_json))
+
+
+@query
+def read_travel_fragments(spark, sf_dir):
+    return _travel_per_route(_bronze(spark, sf_dir, 3, keyed_json.read_travel_fragments))
+
+
 @query
 def read_bronze(spark, sf_dir):
     frames = keyed_json.read_bronze(spark, fixtures.bronze_root(spark, sf_dir))
