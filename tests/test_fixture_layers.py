@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from waykit import fixtures
+from waykit.plans import documents
 from waykit.registry import QUERIES
-from waykit.sources import travel_blocks
+from waykit.sources import keyed_json, travel_blocks
 
 
 @pytest.fixture
@@ -32,6 +34,25 @@ def layers(sf_dir: str) -> set[str]:
     return {layer for _, folder, layer in fixtures._written if folder == sf_dir}
 
 
+def test_a_reader_lands_its_own_file_only(spark, sf_dir):
+    assert QUERIES["dim_routes"](spark, sf_dir).count() == 13
+    assert layers(sf_dir) == {"bronze/route_data.json", "silver-routes", "silver-stops"}
+    assert QUERIES["read_travel_json"](spark, sf_dir).count() == 13
+    assert "silver-travel" not in layers(sf_dir) and "bronze/package_data.json" not in layers(sf_dir)
+    root = fixtures.bronze_root(spark, sf_dir)
+    assert sorted(os.listdir(root)) == sorted(keyed_json.RAW_FILES[:4])
+
+
+def test_documents_of_matrices_are_those_of_edges(spark, sf_dir):
+    s = fixtures.silver(spark, sf_dir)
+    text = lambda docs: sorted(
+        (r.route_id, r.f, r.t) for r in docs.select(
+            "route_id", F.explode("doc").alias("f", "targets")
+        ).select("route_id", "f", F.to_json("targets").alias("t")).collect()
+    )
+    assert text(fixtures._travel_documents(s)) == text(documents.route_travel_docs(s))
+
+
 @pytest.mark.parametrize("block_edges", [travel_blocks.BLOCK_EDGES, 100])
 def test_blocks_of_matrices_are_those_of_edges(spark, sf_dir, tmp_path, block_edges):
     stops, travel = (getattr(fixtures.derive(spark, sf_dir), n) for n in ("stops", "travel"))
@@ -49,3 +70,9 @@ def test_blocks_of_matrices_are_those_of_edges(spark, sf_dir, tmp_path, block_ed
 def test_scores_need_no_edge_table(spark, sf_dir):
     assert QUERIES["evaluate_routes"](spark, sf_dir).count() > 0
     assert "travel-blocks" in layers(sf_dir) and "silver-travel" not in layers(sf_dir)
+
+
+def test_packages_are_dealt_once(spark, sf_dir):
+    s = fixtures.silver(spark, sf_dir)
+    plan = documents.route_package_docs(s)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
