@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 from datetime import date
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from waykit import fixtures
+from waykit.functions import clock_math as cm
 from waykit.plans import documents
 from waykit.registry import QUERIES
 from waykit.sources import keyed_json, travel_blocks
@@ -76,3 +79,30 @@ def test_packages_are_dealt_once(spark, sf_dir):
     s = fixtures.silver(spark, sf_dir)
     plan = documents.route_package_docs(s)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_matrices_are_worked_out_as_arrays(spark):
+    rows = [("a", "s1", 3.0, 4.0), ("a", "s2", -10.0, 7.5), ("a", "s2", 1.0, 1.0), ("a", "s3", None, 2.0), ("b", "t1", 5.0, 6.0)]
+    rows += [("c", f"u{k:03}", k * 7919 % 997.0, k * 104729 % 991.0) for k in range(40)]
+    stops = spark.createDataFrame(rows, "route_id string, stop_id string, lat double, lng double")
+    found = fixtures.matrices(stops, 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan
+    edges = sorted(fixtures.travel_matrix(stops).collect(), key=str)
+    assert len(edges) == 16 + 1 + 1600
+    assert sorted(travel_blocks.matrix_edges(found).collect(), key=str) == edges
+    micros = F.transform("seconds", lambda row: F.transform(row, cm.seconds_to_micros))
+    assert found.where(~F.col("times").eqNullSafe(micros)).isEmpty()
+
+
+def test_pieces_of_matrices_are_bounded(monkeypatch):
+    monkeypatch.setattr(fixtures, "CELLS", 10)
+    lists = [[f"s{k}" for k in range(n)] for n in (3, 0, 1, 2, 5, 1)]
+    batch = (pa.array(lists, pa.list_(pa.string())), *[pa.array([[1.0 * len(x)] * len(x) for x in lists], pa.list_(pa.float64()))] * 2)
+    pieces = list(fixtures._matrix_rows(iter([batch]), travel_blocks.micros))
+    assert [len(p) for p in pieces] == [3, 1, 1, 1]
+    assert [[len(row) for row in m] for p in pieces for m in p.to_pylist()] == [[len(x)] * len(x) for x in lists]
+
+
+def test_micros_of_odd_values():
+    assert travel_blocks.micros(np.array([0.5e-6, 1.5e-6, np.nan, np.inf, -2e10, 1e10])).to_pylist() == [0, 2, None, None, None, 10**16]
