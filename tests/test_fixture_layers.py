@@ -9,11 +9,14 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from waykit import fixtures
 from waykit.functions import clock_math as cm
+from waykit.operators.sequences import actual_sequence, measured
 from waykit.plans import documents
 from waykit.registry import QUERIES
+from waykit.session import kept_by_route
 from waykit.sources import keyed_json, travel_blocks
 
 
@@ -106,3 +109,37 @@ def test_pieces_of_matrices_are_bounded(monkeypatch):
 
 def test_micros_of_odd_values():
     assert travel_blocks.micros(np.array([0.5e-6, 1.5e-6, np.nan, np.inf, -2e10, 1e10])).to_pylist() == [0, 2, None, None, None, 10**16]
+
+
+def test_routes_stay_in_place_from_sequence_to_score(spark, sf_dir, monkeypatch):
+    s = fixtures.silver(spark, sf_dir)
+    key, limit = "spark.sql.requireAllClusterKeysForCoPartition", "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key), spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        with kept_by_route(spark):
+            kept = fixtures.relational_gold(s)
+            plan = kept._jdf.queryExecution().executedPlan().toString()
+            rows = sorted(kept.collect())
+        moved = fixtures.relational_gold(s)
+        assert plan.count("REPARTITION_BY_NUM") == 5  # three sequences, services, windows
+        assert plan.count("Exchange") < moved._jdf.queryExecution().executedPlan().toString().count("Exchange")
+        assert rows == sorted(moved.collect()) and len(rows) > 5
+    finally:
+        spark.conf.set(limit, before[1])
+    assert spark.conf.get(key) == before[0]
+    monkeypatch.setattr(fixtures, "relational_gold", lambda _: spark.range(1).where(F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception, match="no"):
+        fixtures.gold(spark, sf_dir)
+    assert spark.conf.get(key) == before[0]
+
+
+def test_length_of_sequences_is_asked_without_sorting(spark, monkeypatch):
+    rows = [("a", k, f"s{k}") for k in range(5)] + [("b", k, f"s{k}") for k in range(3)]
+    seq = actual_sequence(spark.createDataFrame(rows, "route_id string, actual_sequence_position bigint, stop_id string"))
+    plans = []
+    monkeypatch.setattr(
+        DataFrame, "isEmpty", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or not df.take(1)
+    )
+    assert [measured(seq, n, None)[1] for n in (4, 5)] == [True, False]
+    assert plans and not any("Window" in p for p in plans)
