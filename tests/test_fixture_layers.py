@@ -143,3 +143,12 @@ def test_length_of_sequences_is_asked_without_sorting(spark, monkeypatch):
     )
     assert [measured(seq, n, None)[1] for n in (4, 5)] == [True, False]
     assert plans and not any("Window" in p for p in plans)
+
+
+@pytest.mark.parametrize(
+    "name", ["read_package_json", "read_route_json", "read_travel_json", "read_travel_fragments", "dim_packages", "fact_stops"]
+)
+def test_records_are_parsed_once(spark, sf_dir, name):
+    found = QUERIES[name](spark, sf_dir)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert found.count() > 0
