@@ -152,3 +152,23 @@ def test_records_are_parsed_once(spark, sf_dir, name):
     found = QUERIES[name](spark, sf_dir)
     assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
     assert found.count() > 0
+
+
+def test_windows_are_hashed_where_they_are_small(spark, sf_dir):
+    s = fixtures.silver(spark, sf_dir)
+    limits = ("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "spark.sql.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(key) for key in limits]
+    spark.conf.set(limits[0], "0b")
+    spark.conf.set(limits[1], "-1")
+    try:
+        with kept_by_route(spark):
+            kept = fixtures.relational_gold(s)
+            rows = sorted(kept.collect())
+        assert "ShuffledHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
+        assert spark.conf.get(limits[0]) == "0b"
+        sorted_only = fixtures.relational_gold(s)
+        assert rows == sorted(sorted_only.collect()) and len(rows) > 5
+        assert "ShuffledHashJoin" not in sorted_only._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in zip(limits, before, strict=True):
+            spark.conf.set(key, value)
