@@ -84,6 +84,31 @@ def test_packages_are_dealt_once(spark, sf_dir):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_line_items_are_dealt_by_ranges_of_their_key(spark, tmp_path):
+    spark.createDataFrame([(7, date(2018, 7, 1), "5-LOW")], "o_orderkey bigint, o_orderdate date, o_orderpriority string").write.parquet(
+        f"{tmp_path}/orders.parquet"
+    )
+    lines = [(None if k == 0 else 7, k % 3, k // 2, 1, "F", 3.0, "R", 0.05) for k in range(400)]
+    spark.createDataFrame(
+        lines + lines[:30],
+        "l_orderkey bigint, l_linenumber bigint, l_partkey bigint, l_suppkey bigint, l_linestatus string,"
+        " l_quantity double, l_returnflag string, l_discount double",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    packages = fixtures.derive(spark, str(tmp_path)).packages
+    plan = packages._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1
+    assert "Sort" not in plan.partition("Exchange rangepartitioning")[2]  # what stands below the exchange
+    sums = [r["planned_service_time_seconds"] for r in packages.collect()]
+    assert len(sums) == 400 and sum(sums) == 430 * 3.0 and sums.count(6.0) == 30
+    conf, before = "spark.sql.adaptive.coalescePartitions.enabled", spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set(conf, "false")
+    try:
+        tasks = fixtures.derive(spark, str(tmp_path)).packages.where("stop_id = 'S7'").groupBy(F.spark_partition_id()).count()
+        assert sorted(r["count"] > 50 for r in tasks.collect()) == [True] * 4  # one order's lines, in every task
+    finally:
+        spark.conf.set(conf, before)
+
+
 def test_matrices_are_worked_out_as_arrays(spark):
     rows = [("a", "s1", 3.0, 4.0), ("a", "s2", -10.0, 7.5), ("a", "s2", 1.0, 1.0), ("a", "s3", None, 2.0), ("b", "t1", 5.0, 6.0)]
     rows += [("c", f"u{k:03}", k * 7919 % 997.0, k * 104729 % 991.0) for k in range(40)]
