@@ -6,11 +6,12 @@ import re
 from collections import Counter
 from dataclasses import replace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from networks import at, four_stops, network, random_travel
-from waykit import schemas
+from waykit import fixtures, schemas
 from waykit.operators import clock, packing, sequences
 from waykit.plans import gold
 from waykit.sources import silver_store, travel_blocks
@@ -126,6 +127,22 @@ def test_no_edge_is_shuffled(spark, silver, tmp_path, shuffled_joins):
         assert not any("Exchange" in x for x in over[:join])
 
 
+def test_blocks_are_read_few_routes_at_once(spark, tmp_path):
+    """All rows of a row group are decoded together, so well encoded matrices of many routes must not share one."""
+    n, m = 1200, 60
+    stops = spark.range(n * m).select(
+        F.format_string("R%04d", F.floor(F.col("id") / m)).alias("route_id"), F.format_string("S%02d", F.col("id") % m).alias("stop_id"),
+        (F.col("id") * 7919 % 997).cast("double").alias("lat"), (F.col("id") * 104729 % 991).cast("double").alias("lng"),
+    )
+    travel_blocks.write_matrices(stops, fixtures.matrices, str(tmp_path), 1)
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "blocks").glob("*.parquet")]
+    groups = [f.row_group(k).num_rows for f in files for k in range(f.num_row_groups)]
+    assert sum(groups) == n and max(groups) * m * m < 2_000_000
+    times = travel_blocks.load_blocks(spark, str(tmp_path)).blocks.select(F.explode(F.flatten("times")).alias("us"))
+    want = fixtures.matrices(stops, 2).select(F.explode(F.flatten("times")).alias("us"))
+    assert times.agg(F.count("us"), F.sum("us")).first() == want.agg(F.count("us"), F.sum("us")).first()
+
+
 def test_plans_stay_small(spark, silver, tmp_path, shuffled_joins):
     stored = with_blocks(spark, silver, tmp_path)
     seq = sequences.actual_sequence(stored.sequences)
