@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from networks import at, four_stops, network, random_travel
 from waykit import fixtures, schemas
-from waykit.operators import clock, packing, sequences
+from waykit.operators import clock, nearest, packing, sequences
 from waykit.plans import gold
 from waykit.sources import silver_store, travel_blocks
 
@@ -172,6 +172,17 @@ def test_ranks_of_a_long_route_are_exact_and_evenly_dealt(spark, monkeypatch, ki
     assert len(sizes) > 10 and sizes[-1] < 2 * sizes[len(sizes) // 2]
 
 
+@pytest.mark.parametrize("block_edges", [travel_blocks.BLOCK_EDGES, 1])
+def test_the_nearest_stop_comes_from_blocks_as_from_edges(spark, silver, tmp_path, block_edges):
+    stored = with_blocks(spark, silver, tmp_path, block_edges)
+    heads = silver.stops.groupBy("route_id").agg(F.min("stop_id").alias("stop_id"))
+    heads = heads.union(spark.createDataFrame([("plain", "nowhere"), ("unknown", "A"), ("plain", "A")], heads.schema))
+    visited = heads.union(spark.createDataFrame([("twelve", f"S{k:02d}") for k in range(6)], heads.schema))
+    rows = lambda travel: sorted(map(tuple, nearest.nearest_step(heads, visited, travel).collect()))
+    assert rows(stored.times) == rows(silver.travel)
+    assert len(rows(stored.times)) == 7  # all but the route of one stop
+
+
 def test_legs_across_borders_of_segments(spark):
     stops = [f"S{k:02d}" for k in range(11)]
     found = network(spark, {"R": {"travel": {}, "order": stops[::-1]}, "Q": {"travel": {}, "order": stops[:3]}})
