@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from datetime import date
 
@@ -197,3 +198,24 @@ def test_windows_are_hashed_where_they_are_small(spark, sf_dir):
     finally:
         for key, value in zip(limits, before, strict=True):
             spark.conf.set(key, value)
+
+
+def test_the_travel_file_is_written_as_text(spark, sf_dir, monkeypatch):
+    """The lines of the landing file read back as the documents of matrices, and no map is made into JSON for them."""
+    s = fixtures.silver(spark, sf_dir)
+    monkeypatch.setattr(keyed_json, "write_keyed_json", lambda *_: pytest.fail("a matrix went through a map"))
+    found = keyed_json.read_travel_json(spark, fixtures.bronze_file(spark, sf_dir, keyed_json.RAW_FILES[3]))
+    text = lambda docs: sorted(
+        tuple(r) for r in docs.select("route_id", F.explode("doc").alias("f", "t")).select("route_id", "f", F.to_json("t")).collect()
+    )
+    assert text(found) == text(documents.route_travel_docs(s)) and not found.where("malformed").count()
+
+
+def test_a_travel_line_needs_every_stop_once():
+    place = np.array([1.0, np.nan])
+    line = fixtures._travel_line('R"', ["a\\", "é"], place, np.array([2.0, 3.0]))
+    assert json.loads(line) == {'R"': {"a\\": {"a\\": 0.0, "é": None}, "é": {"a\\": None, "é": 0.0}}}
+    assert json.loads(fixtures._travel_line("R", [], np.empty(0), np.empty(0))) == {"R": {}}
+    for route, stops in ((None, ["a", "b"]), ("R", ["a", None]), ("R", ["a", "a"])):
+        with pytest.raises(ValueError, match="every stop's once"):
+            fixtures._travel_line(route, stops, place, place)
