@@ -14,11 +14,12 @@ from pyspark.sql.classic.dataframe import DataFrame
 
 from waykit import fixtures
 from waykit.functions import clock_math as cm
+from waykit.llm.common import stored
 from waykit.operators.sequences import actual_sequence, measured
 from waykit.plans import documents
 from waykit.registry import QUERIES
 from waykit.session import kept_by_route
-from waykit.sources import keyed_json, travel_blocks
+from waykit.sources import keyed_json, tables, travel_blocks
 
 
 @pytest.fixture
@@ -219,3 +220,16 @@ def test_a_travel_line_needs_every_stop_once():
     for route, stops in ((None, ["a", "b"]), ("R", ["a", None]), ("R", ["a", "a"])):
         with pytest.raises(ValueError, match="every stop's once"):
             fixtures._travel_line(route, stops, place, place)
+
+
+def test_a_write_removes_its_shuffle_files(spark, tmp_path):
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    held = lambda: tracker.shuffleStatuses().size()
+    before = held()
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    assert tables.written(rows, "freed").agg(F.sum("n")).first()[0] == 1000
+    tables.write_overwrite(rows, str(tmp_path / "rows"))
+    stored(rows, "freed")
+    keyed_json.write_lines(rows.select(F.col("n").cast("string")), str(tmp_path / "lines"))
+    freed = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    assert freed == "false" and held() <= before + 1  # the sum's own shuffle; garbage may be collected meanwhile
